@@ -41,6 +41,7 @@ CHUNK = 16_384  # queries that meet a block in one task
 ANGLE = math.acos(SHARE)
 TAG = re.compile(r"<[^<>\n]{0,300}>")
 WORD = re.compile(r"[^\W_]+")
+INVISIBLE = "\u00ad\u200b\u200c\u200d\u2060\ufeff"  # soft hyphen, zero-width signs, byte order mark
 VECTOR = "doc_id long, digest string, n int, vec binary"
 
 
@@ -55,8 +56,8 @@ def words(text: str | None) -> list[str]:
     if not text.isascii():
         text = unicodedata.normalize("NFKC", text).casefold()
         text = unicodedata.normalize("NFKC", text)
-        if any(c in text for c in "­​‌‍⁠﻿"):
-            text = text.translate(dict.fromkeys(map(ord, "­​‌‍⁠﻿")))
+        if any(c in text for c in INVISIBLE):
+            text = text.translate(dict.fromkeys(map(ord, INVISIBLE)))
         return WORD.findall(text)
     return WORD.findall(text.lower())
 

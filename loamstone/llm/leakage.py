@@ -131,6 +131,9 @@ class Matcher:
         # other pieces of the passage inside this run lie on it as well
         done.update((item, k) for k in range(a, x) if (k - a + b) % self.length == 0)
         run = y - b
+        # window - budget words match in budget + 1 runs, so one of them has at least this many
+        if run * (self.budget + 1) < self.window - self.budget:
+            return run, self.window, at - p
         segment = w[max(0, at - self.window - self.budget) : at + self.length + self.window + self.budget]
         if run >= self.window:
             return run, myers(q[b : b + self.window], segment), at - p
