@@ -138,10 +138,12 @@ class Matcher:
         if run >= self.window:
             return run, myers(q[b : b + self.window], segment), at - p
         least = self.window
+        inside = set(segment)
+        known = [x in inside for x in q]
         for s in range(max(0, p + self.length - self.window), min(p, len(q) - self.window) + 1):
-            least = min(least, myers(q[s : s + self.window], segment))
-            if least == 0:
-                break
+            # each word of the window that is nowhere near costs an edit
+            if sum(known[s : s + self.window]) >= self.window - self.budget:
+                least = min(least, myers(q[s : s + self.window], segment))
         return run, least, at - p
 
 
