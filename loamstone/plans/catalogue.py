@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from loamstone.sources.tables import table
 
-MODULES: tuple[str, ...] = ("loamstone.plans.texts",)
+MODULES: tuple[str, ...] = ("loamstone.plans.texts", "loamstone.plans.features")
 
 
 def queries() -> dict:
