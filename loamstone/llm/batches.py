@@ -7,8 +7,8 @@ least SHARE of the words of the longer have a product of square-rooted counts
 of at least SHARE times the longer length (each shared word adds at least one),
 so lengths and angles bound every cell: a query is taken only to blocks with a
 cell that can still hold a holder, cells inside a block are skipped by the
-same bounds, and what passes is reranked by its full vector and then by the
-longest common subsequence of words, bit-parallel. The bounds are exact: no
+same bounds, and what passes is reranked by its full vector, then by the longest
+common subsequence of coordinates, bit-parallel, and confirmed on the words. The bounds are exact: no
 holder is lost. Texts equal after normalisation form one class with its
 smallest id, so copies cost one vector however many there are.
 
@@ -22,7 +22,7 @@ import html
 import math
 import re
 import unicodedata
-from collections import Counter
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -36,13 +36,14 @@ WIDTH = 512
 SHARE = 0.85
 CENTROIDS = 24
 SAMPLE = 4000  # texts that the centroids are fitted on; they decide speed only, never the result
-BLOCK = 16_384  # vectors of a block
+BLOCK = 16_384  # vectors of a block; vectors of long texts count as several
+LONG = 500  # words for which a vector counts once
 CHUNK = 16_384  # queries that meet a block in one task
 ANGLE = math.acos(SHARE)
 TAG = re.compile(r"<[^<>\n]{0,300}>")
 WORD = re.compile(r"[^\W_]+")
 INVISIBLE = "\u00ad\u200b\u200c\u200d\u2060\ufeff"  # soft hyphen, zero-width signs, byte order mark
-VECTOR = "doc_id long, digest string, n int, vec binary"
+VECTOR = "doc_id long, digest string, n int, seq binary"
 
 
 def words(text: str | None) -> list[str]:
@@ -62,14 +63,12 @@ def words(text: str | None) -> list[str]:
     return WORD.findall(text.lower())
 
 
-def bucket(word: str) -> int:
-    import xxhash
-
-    return xxhash.xxh32_intdigest(word.encode("utf-8", "surrogatepass"), 7) % WIDTH
-
-
 def vectors(docs: DataFrame) -> DataFrame:
-    """(doc_id, digest, n, vec) of every text with words, of docs (doc_id, text); null and blank texts have none."""
+    """(doc_id, digest, n, seq) of every text with words, of docs (doc_id, text); null and blank texts have none.
+
+    seq holds the coordinate of every word in its order, 16 bits each: the
+    full vector is its histogram, and the order serves the rerank.
+    """
 
     def make():
         import xxhash
@@ -82,14 +81,11 @@ def vectors(docs: DataFrame) -> DataFrame:
                 return []
             if len(known) > 500_000:
                 known.clear()
-            counts = [0] * WIDTH
-            for x, c in Counter(w).items():
-                b = known.get(x)
-                if b is None:
-                    b = known[x] = bucket(x)
-                counts[b] += c
+            for x in set(w):
+                if x not in known:
+                    known[x] = xxhash.xxh32_intdigest(x.encode("utf-8", "surrogatepass"), 7) & 0xFFFF
             joined = " ".join(w).encode("utf-8", "surrogatepass")
-            return [(i, xxhash.xxh128_hexdigest(joined), len(w), np.minimum(counts, 65535).astype("<u2").tobytes())]
+            return [(i, xxhash.xxh128_hexdigest(joined), len(w), array("H", map(known.__getitem__, w)).tobytes())]
 
         return one
 
@@ -108,6 +104,22 @@ def lcs(a: list[str], b: list[str]) -> int:
     return len(a) - v.bit_count()
 
 
+def reaches(where: dict[int, int], n: int, b: list[int], need: int) -> bool:
+    """Whether the common subsequence of a text of n words, given by the places of its words, and b has need words; ends early where it cannot."""
+    v = full = (1 << n) - 1
+    left = len(b)
+    for k in range(0, left, 24):
+        for w in b[k : k + 24]:
+            m = where.get(w)
+            if m is not None:
+                u = v & m
+                v = ((v + u) | (v - u)) & full
+        done = min(k + 24, left)
+        if n - v.bit_count() + left - done < need:
+            return False
+    return n - v.bit_count() >= need
+
+
 def near(a: list[str], b: list[str]) -> bool:
     """Whether the texts share in order at least SHARE of the words of the longer."""
     longer = max(len(a), len(b))
@@ -119,13 +131,16 @@ def band(n):
     return np.floor(np.log(n) / -math.log(SHARE)).astype(int)
 
 
-def unit(matrix: np.ndarray) -> np.ndarray:
-    m = np.sqrt(matrix.astype(np.float32))
+def unit(counts: np.ndarray) -> np.ndarray:
+    m = np.sqrt(counts)
     return m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-9)
 
 
-def matrix(column) -> np.ndarray:
-    return np.frombuffer(b"".join(column), dtype="<u2").reshape(-1, WIDTH)
+def matrix(column: list[bytes]) -> np.ndarray:
+    """Word counts by bucket of each sequence of coordinates."""
+    rows = np.repeat(np.arange(len(column)), [len(x) // 2 for x in column])
+    flat = np.frombuffer(b"".join(column), dtype="<u2") % WIDTH
+    return np.bincount(rows * WIDTH + flat, minlength=len(column) * WIDTH).reshape(-1, WIDTH).astype(np.float32)
 
 
 def fit_centroids(docs: DataFrame, sample: int = SAMPLE, k: int = CENTROIDS, rounds: int = 8) -> np.ndarray:
@@ -133,10 +148,10 @@ def fit_centroids(docs: DataFrame, sample: int = SAMPLE, k: int = CENTROIDS, rou
     total = max(1, docs.count())
     share = min(1.0, 1.5 * sample / total)
     part = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000)).limit(sample)
-    rows = sorted(vectors(part).select("digest", "vec").collect())
+    rows = sorted(vectors(part).select("digest", "seq").collect())
     if not rows:
         return np.eye(1, WIDTH, dtype=np.float32)
-    x = unit(matrix([r["vec"] for r in rows]))
+    x = unit(matrix([bytes(r["seq"]) for r in rows]))
     c = x[np.linspace(0, len(x) - 1, min(k, len(x))).astype(int)]
     for _ in range(rounds):
         near_ = (x @ c.T).argmax(axis=1)
@@ -145,11 +160,11 @@ def fit_centroids(docs: DataFrame, sample: int = SAMPLE, k: int = CENTROIDS, rou
     return c.astype(np.float32)
 
 
-INDEX = "doc_id long, last_id long, digest string, n int, vec binary, band int, centroid int, angle float"
+INDEX = "doc_id long, last_id long, digest string, n int, seq binary, band int, centroid int, angle float"
 
 
 def place(classes: DataFrame, centroids: np.ndarray) -> DataFrame:
-    """Classes (doc_id, last_id, digest, n, vec) with their cell and angle to its centroid."""
+    """Classes (doc_id, last_id, digest, n, seq) with their cell and angle to its centroid."""
 
     def run(batches):
         for b in batches:
@@ -160,15 +175,15 @@ def place(classes: DataFrame, centroids: np.ndarray) -> DataFrame:
             best = s.argmax(axis=1)
             angle = np.arccos(np.clip(s[np.arange(len(best)), best], -1, 1))
             n = np.array(b.column(3).to_pylist())
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(band(n), pa.int32()), pa.array(best, pa.int32()), pa.array(angle, pa.float32())], names=["doc_id", "last_id", "digest", "n", "vec", "band", "centroid", "angle"])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(band(n), pa.int32()), pa.array(best, pa.int32()), pa.array(angle, pa.float32())], names=["doc_id", "last_id", "digest", "n", "seq", "band", "centroid", "angle"])
 
     return classes.mapInArrow(run, INDEX)
 
 
 def classes(vecs: DataFrame) -> DataFrame:
     """One row for each class of equal texts: smallest and largest id; copies are joined on the map side first."""
-    g = vecs.groupBy("digest").agg(F.min(F.struct("doc_id", "n", "vec")).alias("first"), F.max("doc_id").alias("last_id"))
-    return g.select("first.doc_id", "last_id", "digest", "first.n", "first.vec")
+    g = vecs.groupBy("digest").agg(F.min(F.struct("doc_id", "n", "seq")).alias("first"), F.max("doc_id").alias("last_id"))
+    return g.select("first.doc_id", "last_id", "digest", "first.n", "first.seq")
 
 
 class CellIndex:
@@ -217,13 +232,14 @@ class CellIndex:
         number, room = 0, 0
         for r in sorted(stats, key=lambda r: (r["band"], r["centroid"])):
             cell = (r["band"], r["centroid"])
-            split = -(-r["size"] // BLOCK)
-            if split > 1 or room < r["size"]:
+            weight = r["size"] * max(1, -(-r["most"] // LONG))
+            split = -(-weight // BLOCK)
+            if split > 1 or room < weight:
                 number, room = number + 1, BLOCK
             parts[cell] = split
             blocks[cell] = list(range(number, number + split))
             number += split - 1
-            room = room - r["size"] if split == 1 else 0
+            room = room - weight if split == 1 else 0
         by_band: dict[int, list] = {}
         for r in stats:
             by_band.setdefault(r["band"], []).append(r)
@@ -243,16 +259,16 @@ class CellIndex:
             for b in batches:
                 if not b.num_rows:
                     continue
-                table_ = {c: b.column(c).to_pylist() for c in ("doc_id", "last_id", "digest", "n", "vec")}
-                ang = np.arccos(np.clip(unit(matrix(table_["vec"])) @ directions.T, -1, 1))
+                table_ = {c: b.column(c).to_pylist() for c in ("doc_id", "last_id", "digest", "n", "seq")}
+                ang = np.arccos(np.clip(unit(matrix(table_["seq"])) @ directions.T, -1, 1))
                 rows = []
                 for k in range(b.num_rows):
                     targets = {x for cell in possible(table_["n"][k], ang[k]) for x in blocks[cell]}
-                    rows += [(x, table_["doc_id"][k], table_["last_id"][k], table_["digest"][k], table_["n"][k], table_["vec"][k]) for x in targets]
+                    rows += [(x, table_["doc_id"][k], table_["last_id"][k], table_["digest"][k], table_["n"][k], table_["seq"][k]) for x in targets]
                 if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.int64(), pa.int64(), pa.string(), pa.int32(), pa.binary()))], names=["block", "q_id", "q_last", "q_digest", "q_n", "q_vec"])
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.int64(), pa.int64(), pa.string(), pa.int32(), pa.binary()))], names=["block", "q_id", "q_last", "q_digest", "q_n", "q_seq"])
 
-        sent = queries.select("doc_id", "last_id", "digest", "n", "vec").mapInArrow(send, "block int, q_id long, q_last long, q_digest string, q_n int, q_vec binary")
+        sent = queries.select("doc_id", "last_id", "digest", "n", "seq").mapInArrow(send, "block int, q_id long, q_last long, q_digest string, q_n int, q_seq binary")
         # where very many queries meet one block, both sides are cut further; blocks and queries then meet in chunks
         chunks = max(1, -(-queries.count() // CHUNK))
         sent = sent.withColumn("chunk", F.pmod(F.xxhash64("q_digest"), F.lit(chunks)).cast("int"))
@@ -262,7 +278,7 @@ class CellIndex:
         many = F.create_map(*[x for cell, b in parts.items() for x in (F.lit(f"{cell[0]}.{cell[1]}"), F.lit(b))])
         key = F.concat_ws(".", F.col("band").cast("string"), F.col("centroid").cast("string"))
         held = self.cells().withColumn("block", (first[key] + F.pmod(F.xxhash64("digest"), many[key])).cast("int"))
-        held = held.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1)))).select("block", "chunk", "doc_id", "digest", "n", "vec", "centroid", "angle")
+        held = held.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1)))).select("block", "chunk", "doc_id", "digest", "n", "seq", "centroid", "angle")
         meet = _meet(directions)
         return sent.groupBy("block", "chunk").cogroup(held.groupBy("block", "chunk")).applyInArrow(meet, "q_id long, q_digest string, x_id long, x_digest string")
 
@@ -274,7 +290,9 @@ def _meet(directions: np.ndarray):
     def run(q: pa.Table, x: pa.Table) -> pa.Table:
         out: list[tuple] = []
         if q.num_rows and x.num_rows:
-            qv = np.sqrt(matrix(q["q_vec"].to_pylist()).astype(np.float32))
+            qb = q["q_seq"].to_pylist()
+            qc = matrix(qb)
+            qv = np.sqrt(qc)
             qn = q["q_n"].to_numpy().astype(np.float32)
             ql = q["q_last"].to_numpy()
             q_ang = np.arccos(np.clip((qv / np.linalg.norm(qv, axis=1, keepdims=True)) @ directions.T, -1, 1))
@@ -282,12 +300,13 @@ def _meet(directions: np.ndarray):
             xid = x["doc_id"].to_numpy()
             cent, x_ang = x["centroid"].to_numpy(), x["angle"].to_numpy()
             qid, qd, xd = q["q_id"].to_pylist(), q["q_digest"].to_pylist(), x["digest"].to_pylist()
-            xb = x["vec"].to_pylist()
+            xb = x["seq"].to_pylist()
             for c in np.unique(cent):
                 inside = np.nonzero(cent == c)[0]
                 order = inside[np.argsort(xn[inside], kind="stable")]
                 lens = xn[order]
-                xv = np.sqrt(matrix([xb[k] for k in order]).astype(np.float32))
+                xc = matrix([xb[k] for k in order])
+                xv = np.sqrt(xc)
                 widest = x_ang[order].max()
                 ok = np.nonzero((q_ang[:, c] - widest <= ANGLE + 1e-3) & (qn >= SHARE * lens[0] - 1e-3) & (qn <= lens[-1] / SHARE + 1e-3))[0]
                 ok = ok[np.argsort(qn[ok], kind="stable")]
@@ -300,9 +319,24 @@ def _meet(directions: np.ndarray):
                     dots = qv[qq] @ xv[lo:hi].T
                     longer = np.maximum(qn[qq][:, None], lens[None, lo:hi])
                     hit = (dots >= SHARE * longer - 1e-2 - 1e-4 * longer) & (xid[order[lo:hi]][None] < ql[qq][:, None])
-                    for a, b in zip(*np.nonzero(hit)):
+                    at, bt = np.nonzero(hit)
+                    if not len(at):
+                        continue
+                    # the histograms' common part bounds the common subsequence from above
+                    common = np.concatenate([np.minimum(qc[qq[at[k : k + 4096]]], xc[lo + bt[k : k + 4096]]).sum(axis=1) for k in range(0, len(at), 4096)])
+                    keep = common >= SHARE * longer[at, bt] - 1e-2
+                    places: dict[int, int] = {}
+                    last = -1
+                    for a, b in zip(at[keep], bt[keep]):
                         i, j = qq[a], order[lo + b]
-                        if qd[i] != xd[j]:
+                        if qd[i] == xd[j]:
+                            continue
+                        if i != last:
+                            last, places = i, {}
+                            for k, w in enumerate(np.frombuffer(qb[i], "<u2").tolist()):
+                                places[w] = places.get(w, 0) | 1 << k
+                        need = math.ceil(SHARE * max(int(qn[i]), int(xn[j])) - 1e-9)
+                        if reaches(places, int(qn[i]), np.frombuffer(xb[j], "<u2").tolist(), need):
                             out.append((qid[i], qd[i], int(xid[j]), xd[j]))
         cols = list(zip(*out)) or [[], [], [], []]
         return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema)], schema=schema)
