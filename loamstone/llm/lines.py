@@ -107,8 +107,8 @@ def repeated_lines(docs: DataFrame, lines: DataFrame | None = None, fdr: float =
     k1, n1 = F.col("docs_with").cast("double"), F.col("docs_of_source").cast("double")
     k2 = F.greatest(F.col("cold_with") - F.when(~F.col("hot"), F.col("docs_with")).otherwise(0), F.lit(0)).cast("double")
     n2 = F.greatest(F.col("all_docs") - F.col("hot_docs") - F.when(~F.col("hot"), F.col("docs_of_source")).otherwise(0), F.lit(0)).cast("double")
-    # an average line stands in one document: half a document of that share keeps the outside rate above nil
-    k2s, n2s = k2 + 0.5 / F.col("all_docs"), n2 + 0.5
+    # an average line stands in one document: as many documents of that share as the source has keep the outside from being nil or empty
+    k2s, n2s = k2 + n1 / F.col("all_docs"), n2 + n1
     p1, p2, p = k1 / n1, k2s / n2s, (k1 + k2s) / (n1 + n2s)
 
     def ll(k: Column, n: Column, q: Column) -> Column:
