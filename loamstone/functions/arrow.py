@@ -6,8 +6,10 @@ from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql.types import StructType
 from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
+
+from loamstone.sources.tables import ship_package
 
 
 def flat_map(df: DataFrame, make: Callable[[], Callable[..., Iterable[tuple]]], schema: str) -> DataFrame:
@@ -17,6 +19,7 @@ def flat_map(df: DataFrame, make: Callable[[], Callable[..., Iterable[tuple]]],
     and tables are built once. Batches stay as small as the input batches:
     output is flushed every 4096 rows, so no task holds a whole partition.
     """
+    ship_package(df.sparkSession)
     out = to_arrow_schema(StructType.fromDDL(schema), timestamp_utc=True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One Parquet table of a data folder; columns and filters are left to the scan."""
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -35,3 +36,40 @@ def written(df: DataFrame, label: str, partition_by: list[str] | None = None) ->
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path) if not partition_by else spark.read.parquet(path)
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Put this package on the path of the Python workers, once for each application.
+
+    The archive is written to the shared folder by Hadoop's file system and
+    registered with the session, so executors need no copy of the repository.
+    """
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    import io
+    import os
+    import zipfile
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    name = os.path.basename(root)
+    buffer = io.BytesIO()
+    with zipfile.ZipFile(buffer, "w") as z:
+        for folder, _, files in sorted(os.walk(root)):
+            for f in sorted(files):
+                if f.endswith(".py"):
+                    path = os.path.join(folder, f)
+                    z.write(path, os.path.join(name, os.path.relpath(path, root)))
+    target = f"{shared_dir(spark)}/{name}_{uuid.uuid4().hex}.zip"
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(target)
+    out = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path, True)
+    try:
+        out.write(bytearray(buffer.getvalue()))
+    finally:
+        out.close()
+    spark.sparkContext.addPyFile(target)
+    _shipped.add(app)
