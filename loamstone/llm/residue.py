@@ -68,7 +68,8 @@ SLOT = re.compile(
     r"\{\{[^{}\n]{0,60}\}?\}|\$\{[^{}\n]{0,60}\}|#\{[^{}\n]{0,60}\}|\{%[^%\n]{0,60}%\}|<%=?[^%\n]{0,60}%>|%%\w{1,40}%%|\*\|\w{1,40}\|\*|\[\[\w[\w .]{0,40}\]\]"
     r"|<<\w{1,40}>>|@@\w{1,40}@@|\$\(\w[\w.]{0,40}\)|(?<!\w)~\w{2,40}~(?!\w)|&lt;\w[\w .]{0,40}&gt;|<\w{1,40}_GOES_HERE>|\[(?:INSERT|insert|Insert)\s[^\]\n]{1,40}\]"
     r"|\[(?:YOUR|Your|your)\s[^\]\n]{1,40}\]|\[(?:NAME|Name|DATE|TITLE|CITY|COMPANY|ADDRESS|EMAIL|PHONE|FIRST_NAME|FIRST NAME|LAST NAME)\]|(?<!\w)__[A-Z]+(?:_[A-Z]+)*__(?!\w)"
-    r"|(?<![\w{])\{\w{1,30}(?:\.\w{1,30})?\}(?!\w)|(?<!\w)%[sd](?!\w)|\[object Object\]",
+    r"|(?<![\w{])\{\w{1,30}(?:\.\w{1,30})?\}(?!\w)|(?<!\w)%[sd](?!\w)|\[object Object\]"
+    r"|(?-i:<(?!(?:HTML|HEAD|BODY|DIV|SPAN|TABLE|TBODY|THEAD|TITLE|SECTION|ARTICLE|STRONG|IMG|PRE|CODE|NAV|FOOTER|HEADER|MAIN)>)[A-Z]{3,}(?:_[A-Z]+)*>)",
     re.IGNORECASE,
 )
 #: Words printed for a missing value; they count as a slot only where a value belongs.
