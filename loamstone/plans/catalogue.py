@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from loamstone.sources.tables import table
 
-MODULES: tuple[str, ...] = ("loamstone.plans.texts", "loamstone.plans.features", "loamstone.plans.similar", "loamstone.plans.mixture", "loamstone.plans.safety", "loamstone.plans.evaluate")
+MODULES: tuple[str, ...] = ("loamstone.plans.texts", "loamstone.plans.features", "loamstone.plans.similar", "loamstone.plans.mixture", "loamstone.plans.safety", "loamstone.plans.evaluate", "loamstone.plans.cleaning")
 
 
 def queries() -> dict:
