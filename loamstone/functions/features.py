@@ -98,8 +98,11 @@ def script_profile(c: Column) -> dict[str, Column]:
 def entropy(c: Column) -> Column:
     """Shannon entropy of a text's signs in bits, from its map of counts: one pass, in the row."""
     chars = F.filter(F.split(c, ""), lambda x: x != "")
-    distinct = F.array_distinct(chars)
-    n = F.size(chars).cast("double")
-    # counts by length difference: removing a sign shortens the text by its count
-    p = F.transform(distinct, lambda ch: (F.length(c) - F.length(F.replace(c, ch))) / n)
-    return F.aggregate(p, F.lit(0.0), lambda s, x: s - x * F.log2(x))
+
+    def of(v: Column) -> Column:
+        t, n = v["t"], v["n"]
+        # counts by length difference: removing a sign shortens the text by its count
+        p = F.transform(v["d"], lambda ch: (n - F.length(F.replace(t, ch))) / n)
+        return F.aggregate(p, F.lit(0.0), lambda s, x: s - x * F.log2(x))
+
+    return T.let(F.struct(c.alias("t"), F.length(c).cast("double").alias("n"), F.array_distinct(chars).alias("d")), of)

@@ -9,6 +9,15 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+def let(value: Column, body) -> Column:
+    """body(v) with v bound to the value once.
+
+    Inside the lambdas of array functions a plain column expression is
+    evaluated for every element; a bound variable is not.
+    """
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 SPACE = r"[\s\p{Z}\x{85}]+"
 CONTROL = r"[\x00-\x08\x0b\x0c\x0e-\x1f]"
 
@@ -77,8 +86,7 @@ def paragraphs(c: Column) -> Column:
 
 def collapse_repeated_lines(c: Column) -> Column:
     """Drops a line equal to the line before it."""
-    ls = F.split(c, "\n")
-    return F.array_join(F.filter(ls, lambda x, i: (i == 0) | (x != F.element_at(ls, F.greatest(i, F.lit(1)))) | (F.trim(x) == "")), "\n")
+    return let(F.split(c, "\n"), lambda ls: F.array_join(F.filter(ls, lambda x, i: (i == 0) | (x != F.element_at(ls, F.greatest(i, F.lit(1)))) | (F.trim(x) == "")), "\n"))
 
 
 def sample_ends(c: Column, limit: int) -> Column:

@@ -3,11 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from loamstone.sources.tables import table
-
-MODULES: tuple[str, ...] = ("loamstone.plans.texts", "loamstone.plans.features", "loamstone.plans.similar", "loamstone.plans.mixture", "loamstone.plans.safety", "loamstone.plans.evaluate", "loamstone.plans.cleaning")
+MODULES: tuple[str, ...] = ("loamstone.plans.texts", "loamstone.plans.features", "loamstone.plans.similar", "loamstone.plans.mixture", "loamstone.plans.safety", "loamstone.plans.evaluate", "loamstone.plans.cleaning", "loamstone.plans.pipeline")
 
 
 def queries() -> dict:
@@ -29,4 +26,6 @@ def oracle_sql() -> dict[str, str]:
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").groupBy("lang").agg(F.count("*").alias("documents"))
+    from loamstone.plans.pipeline import flagship as f
+
+    return f(spark, sf_dir)
