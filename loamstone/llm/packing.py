@@ -9,7 +9,6 @@ the documents by rank among the texts of equal length.
 
 from __future__ import annotations
 
-import base64
 import heapq
 from bisect import bisect_right
 
@@ -18,25 +17,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from loamstone.functions.arrow import flat_map
+from loamstone.functions.tokens import encoder, path_of
 from loamstone.sources.tables import table, written
 
-TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"  # a parameter: setting spark.loamstone.tokenizer
-#: Fixed value: the split pattern that belongs to the byte-level vocabulary.
-PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 ROWS_PER_RANK_GROUP = 100_000
 
 
-def encoder(path: str = TOKENIZER):
-    import tiktoken
-
-    with open(path, "rb") as f:
-        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    return tiktoken.Encoding("packing", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-
-
 def token_counts(docs: DataFrame, path: str | None = None) -> DataFrame:
     """(doc_id, tokens) of every row of docs (doc_id, text); null and blank texts count as their tokens, a null as none."""
-    path = path or docs.sparkSession.conf.get("spark.loamstone.tokenizer", TOKENIZER)
+    path = path or path_of(docs.sparkSession)
 
     def make():
         enc = encoder(path)
