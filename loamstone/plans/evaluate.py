@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from loamstone.functions import text as T
-from loamstone.sources.tables import table
+from loamstone.sources.tables import spread, table
 
 Z = 1.96
 
@@ -95,7 +95,7 @@ def corpus_score(spark, d):
     """O-347, O-349, O-350: weighted score of each source from diversity, repetition and size, and the decision."""
     from loamstone.functions.features import word_diversity
 
-    t = table(spark, d, "documents").where("text is not null").select("source", F.length("text").alias("n"), word_diversity(F.col("text")).alias("w"), T.content_hash(F.col("text")).alias("h"))
+    t = spread(table(spark, d, "documents").where("text is not null").select("source", "text")).select("source", F.length("text").alias("n"), word_diversity(F.col("text")).alias("w"), T.content_hash(F.col("text")).alias("h"))
     x = t.groupBy("source").agg(F.count("*").alias("documents"), F.avg("w").alias("w"), (F.countDistinct("h") / F.count("*")).alias("u"), F.avg(F.least(F.lit(1.0), F.col("n") / 2000)).alias("s"))
     score = 100 * (0.4 * F.col("w") + 0.4 * F.col("u") + 0.2 * F.col("s"))
     return x.select("source", "documents", F.round(score, 4).alias("score"), F.when(score >= 75, "ACCEPT").when(score >= 60, "REVIEW").otherwise("REJECT").alias("decision"))

@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 from loamstone.functions import features as X
 from loamstone.functions import peers as P
 from loamstone.functions import text as T
-from loamstone.sources.tables import table
+from loamstone.sources.tables import spread, table
 
 R = 6
 
 
 def _doc(spark, d):
-    return table(spark, d, "documents").where("text is not null").select("doc_id", "lang", "source", "domain", "text")
+    return spread(table(spark, d, "documents").where("text is not null").select("doc_id", "lang", "source", "domain", "text"))
 
 
 def raw_line_features(spark, d):
@@ -64,12 +64,12 @@ def stage0_reject_reasons(spark, d):
     ls = T.lines(c)
     n = F.size(ls)
     short = F.size(F.filter(ls, lambda x: (F.length(x) < 40) & ~x.rlike(r"[.!?]$")))
-    ctrl = X.count(c, r"[\x{FFFD}]") / F.length(c)
+    ctrl = F.try_divide(X.count(c, r"[\x{FFFD}]"), F.length(c))
     reason = (
         F.when(c.isNull() | (F.trim(F.coalesce(c, F.lit(""))) == ""), "empty_text")
         .when(ctrl > 0.02, "corruption")
         .when(X.count(c, X.TAG) >= 20, "html_dump")
-        .when((short / n >= 0.7) & (n >= 5), "navigation_boilerplate")
+        .when((n >= 5) & (F.try_divide(short, n) >= 0.7), "navigation_boilerplate")
         .when(c.rlike(r"(?i)may refer to") & (F.size(F.filter(ls, lambda x: x.rlike(X.BULLET))) >= 4), "disambiguation")
         .when(c.rlike(r"(?i)^\s*(?:404|500) |not found|access denied|internal error"), "error_page")
         .when(c.rlike(r"(?i)lorem ipsum|\{\{[^}]*\}\}"), "template_page")
@@ -82,7 +82,9 @@ def stage0_reject_reasons(spark, d):
 def truncation_signals(spark, d):
     """O-062, O-063: marks of a cut text and their severity."""
     t = _doc(spark, d)
-    tail = F.trim(F.regexp_replace("text", T.SPACE, " "))
+    # only the end counts: 200 signs after trailing white space is gone
+    t = t.withColumn("tail", T.collapse_space(F.right(F.regexp_replace("text", T.SPACE + "$", ""), F.lit(200))))
+    tail = F.col("tail")
     base = F.when(tail.rlike(r"(?:\.\.\.|…)$"), 0.5).when(tail.rlike(r"[,;:(\-]$"), 0.6).when(tail.rlike(r"[.!?\"')\]]$"), 0.0).otherwise(0.3)
     explicit = tail.rlike(r"(?i)\[(?:truncated|cut|continued)\]$|read more$")
     p = F.when(explicit, 0.92).otherwise(0.55 * F.greatest(base, F.lit(0.1)) + 0.45 * base)
@@ -188,7 +190,7 @@ SELECT r.doc_id, round(abs(e.h), 6) AS char_entropy, round({_q("CAST(len(list_di
     "script_profile": "WITH t AS (SELECT DISTINCT id, text FROM redteam_multilingual WHERE text IS NOT NULL), n AS (SELECT id, " + ", ".join(f"CAST(len(regexp_extract_all(text, '{p}')) AS DOUBLE) AS {k}" for k, p in {"latin": r"\p{Latin}", "cyrillic": r"\p{Cyrillic}", "devanagari": r"\p{Devanagari}", "arabic": r"\p{Arabic}", "han": r"\p{Han}", "kana": r"[\p{Hiragana}\p{Katakana}]"}.items()) + " FROM t), a AS (SELECT *, latin+cyrillic+devanagari+arabic+han+kana AS s FROM n), b AS (SELECT *, " + " + ".join(f"CASE WHEN s > 0 AND {k} / s >= 0.05 THEN 1 ELSE 0 END" for k in ("latin", "cyrillic", "devanagari", "arabic", "han", "kana")) + " AS k FROM a) SELECT id, latin, cyrillic, devanagari, arabic, han, kana, CAST(k AS DOUBLE) AS active, CASE WHEN k > 1 THEN CAST(0.28 * (k - 1) AS DOUBLE) ELSE 0.0 END AS mixed FROM b",
     "domain_assignment": f"SELECT coalesce(CASE WHEN starts_with(source,'open-web') THEN 'web' WHEN source LIKE '%-wiki' OR source LIKE '%-wiki-%' THEN 'wiki' WHEN source LIKE '%code%' THEN 'code' WHEN source LIKE '%news%' THEN 'news' WHEN source LIKE '%forum%' OR source LIKE '%answers%' THEN 'qa' WHEN source LIKE '%docs%' OR source LIKE '%handbook%' THEN 'docs' END, CASE WHEN code >= 3 OR contains(text, '```') THEN 'code' WHEN {_n(chr(92) + '?')} >= 3 THEN 'qa' WHEN regexp_matches(text, '(?m)^#{{1,6}} \\S') THEN 'docs' ELSE 'web' END) AS assigned, CASE WHEN code >= 10 THEN 'code' WHEN code >= 3 THEN 'mixed' ELSE 'text' END AS content_type, count(*) AS documents FROM (SELECT source, text, {_CODE} AS code FROM documents WHERE text IS NOT NULL) GROUP BY 1, 2",
     "stage0_reject_reasons": rf"""SELECT reason, count(*) AS records FROM (SELECT CASE WHEN text IS NULL OR trim(text) = '' THEN 'empty_text' WHEN {_n('[' + chr(92) + 'x{FFFD}]')} / length(text) > 0.02 THEN 'corruption' WHEN {_n(X.TAG)} >= 20 THEN 'html_dump'
-WHEN len(list_filter(ls, lambda x: length(x) < 40 AND NOT regexp_matches(x, '[.!?]$'))) / len(ls) >= 0.7 AND len(ls) >= 5 THEN 'navigation_boilerplate' WHEN regexp_matches(text, '(?i)may refer to') AND len(list_filter(ls, lambda x: regexp_matches(x, '{X.BULLET}'))) >= 4 THEN 'disambiguation'
+WHEN len(ls) >= 5 AND len(list_filter(ls, lambda x: length(x) < 40 AND NOT regexp_matches(x, '[.!?]$'))) / len(ls) >= 0.7 THEN 'navigation_boilerplate' WHEN regexp_matches(text, '(?i)may refer to') AND len(list_filter(ls, lambda x: regexp_matches(x, '{X.BULLET}'))) >= 4 THEN 'disambiguation'
 WHEN regexp_matches(text, '(?i)^[\s\x0b]*(?:404|500) |not found|access denied|internal error') THEN 'error_page' WHEN regexp_matches(text, '(?i)lorem ipsum|\{{\{{[^}}]*\}}\}}') THEN 'template_page' WHEN regexp_matches(text, '(?i)sign in again|log in to continue') THEN 'login_page' ELSE 'ok' END AS reason
 FROM (SELECT id, text, {LINES} AS ls FROM (SELECT DISTINCT id, text FROM cleaning_golden))) GROUP BY 1""",
     "truncation_signals": r"""SELECT doc_id, round(p, 6) AS truncation, CASE WHEN p < 0.30 THEN 'none' WHEN p < 0.72 THEN 'slight' ELSE 'heavy' END AS severity FROM (SELECT doc_id, CASE WHEN regexp_matches(tail, '(?i)\[(?:truncated|cut|continued)\]$|read more$') THEN 0.92 ELSE 0.55 * greatest(base, 0.1) + 0.45 * base END AS p FROM (SELECT *, CAST(CASE WHEN regexp_matches(tail, '(?:\.\.\.|…)$') THEN 0.5 WHEN regexp_matches(tail, '[,;:(\-]$') THEN 0.6 WHEN regexp_matches(tail, '[.!?"'')\]]$') THEN 0.0 ELSE 0.3 END AS DOUBLE) AS base FROM (SELECT doc_id, trim(regexp_replace(text, '[\s\x0b\p{Z}\x{85}]+', ' ', 'g')) AS tail FROM documents WHERE text IS NOT NULL)))""",

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from loamstone.functions import safety as S
 from loamstone.functions.features import count
-from loamstone.sources.tables import table
+from loamstone.sources.tables import spread, table
 
 
 def _qa(spark, d):
@@ -62,7 +62,7 @@ def spam_repeats(spark, d):
 
 def license_assessment(spark, d):
     """O-174, O-175, O-184, O-185, O-190: licence named in the text and the decision that follows, by source."""
-    t = table(spark, d, "documents").where("text is not null")
+    t = spread(table(spark, d, "documents").where("text is not null").select("source", "text"))
     lic = S.licence(F.substring("text", 1, 12000))
     dec = F.when(lic == "proprietary", "FLAG").when(lic == "gpl", "FLAG").when(lic == "unknown", "KEEP").otherwise("KEEP")
     return t.groupBy("source", lic.alias("licence"), dec.alias("decision")).agg(F.count("*").alias("documents"))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from loamstone.functions import text as T
-from loamstone.sources.tables import table
+from loamstone.sources.tables import spread, table
 
 FLAT = r"trim(regexp_replace(regexp_replace(text,'[\x00-\x08\x0b\x0c\x0e-\x1f]','','g'),'[\s\p{Z}\x{85}]+',' ','g'))"
 DEDUP = r"lower(trim(regexp_replace(regexp_replace(nfc_normalize(text),'[\x00-\x08\x0b\x0c\x0e-\x1f]','','g'),'[\s\p{Z}\x{85}]+',' ','g')))"
@@ -14,13 +14,13 @@ DEDUP = r"lower(trim(regexp_replace(regexp_replace(nfc_normalize(text),'[\x00-\x
 
 def normalize_minimal(spark, d):
     """O-030, O-031, O-040: flat text and its letters and numbers."""
-    t = table(spark, d, "documents").select("doc_id", T.minimal_normalize(F.col("text")).alias("flat"))
+    t = spread(table(spark, d, "documents").select("doc_id", "text")).select("doc_id", T.minimal_normalize(F.col("text")).alias("flat"))
     return t.select("doc_id", F.length("flat").alias("chars"), T.meaningful_chars(F.col("flat")).alias("meaningful"), F.sha2("flat", 256).alias("digest"))
 
 
 def content_hash_groups(spark, d):
     """O-034, O-035, O-117: groups of documents equal after normalisation."""
-    t = table(spark, d, "documents").select("doc_id", T.content_hash(F.col("text")).alias("hash"))
+    t = spread(table(spark, d, "documents").select("doc_id", "text")).select("doc_id", T.content_hash(F.col("text")).alias("hash"))
     return t.groupBy("hash").agg(F.count("*").alias("copies"), F.min("doc_id").alias("first_doc_id"), F.max("doc_id").alias("last_doc_id"))
 
 
@@ -123,7 +123,7 @@ def stratified_sample(spark, d):
 
 def full_normalize_digest(spark, d):
     """O-032, O-033: full normalisation and repair; lengths and digest."""
-    t = table(spark, d, "documents").select("doc_id", T.repair_formatting(T.full_normalize(F.col("text"))).alias("t"))
+    t = spread(table(spark, d, "documents").select("doc_id", "text")).select("doc_id", T.repair_formatting(T.full_normalize(F.col("text"))).alias("t"))
     return t.select("doc_id", F.length("t").alias("chars"), F.sha2("t", 256).alias("digest"))
 
 

@@ -73,3 +73,13 @@ def ship_package(spark: SparkSession) -> None:
         out.close()
     spark.sparkContext.addPyFile(target)
     _shipped.add(app)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """A scan with fewer splits than the session has cores, dealt out over them; a scan with enough splits stays as it is.
+
+    Only for scans and projections of them: the number of splits is read from the plan.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
