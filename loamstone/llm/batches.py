@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loamstone.functions.arrow import flat_map
-from loamstone.sources.tables import shared_dir, table, written
+from loamstone.sources.tables import shared_dir, spread, table, written
 
 WIDTH = 512
 SHARE = 0.85
@@ -396,7 +396,7 @@ def holders(docs: DataFrame, batch: DataFrame, index: CellIndex | None = None) -
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, batch = table(spark, sf_dir, "documents"), table(spark, sf_dir, "batch_docs")
-    return holders(docs.select("doc_id", "text"), batch.select("doc_id", "text")).select("first_doc_id", "doc_id")
+    return holders(spread(docs.select("doc_id", "text")), spread(batch.select("doc_id", "text"))).select("first_doc_id", "doc_id")
 
 
 def content_hash(text):

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from loamstone.functions.arrow import flat_map
 from loamstone.llm.residue import measure as residue
-from loamstone.sources.tables import table
+from loamstone.sources.tables import spread, table
 
 #: Menu words of page headers and footers by language.
 MENU_WORDS = """
@@ -183,7 +183,7 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     def found(i, t):
         return [(i, no) for no, _, f in furniture_lines(t) if f] if residue(t)[2] is None else []
 
-    golden, qa = (table(spark, sf_dir, n).select("id", "text") for n in ("cleaning_golden", "redteam_qa"))
+    golden, qa = (spread(table(spark, sf_dir, n).select("id", "text")) for n in ("cleaning_golden", "redteam_qa"))
     a = flat_map(golden, lambda: found, "id string, line_no int")
     b = flat_map(qa, lambda: lambda i, t: [(i, no) for no, _, f in furniture_lines(t) if f], "id string, line_no int")
     return a.unionByName(b).distinct()

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loamstone.functions.arrow import flat_map
-from loamstone.sources.tables import table
+from loamstone.sources.tables import spread, table
 
 WINDOW = 13
 BLOCK_CHARS = 16_000_000  # characters of passages that one pass carries to the tasks
@@ -174,7 +174,7 @@ def leaks(docs: DataFrame, items: DataFrame, budget: int = 1) -> DataFrame:
 
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with at least 13 consecutive words of an item's passage; the budget of one edit finds, the exact run decides."""
-    return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items")).where(F.col("run_words") >= WINDOW).select("doc_id", "item_id").distinct()
+    return leaks(spread(table(spark, sf_dir, "documents").select("doc_id", "text")), table(spark, sf_dir, "eval_items")).where(F.col("run_words") >= WINDOW).select("doc_id", "item_id").distinct()
 
 
 def p9_items(spark: SparkSession, sf_dir: str) -> DataFrame:

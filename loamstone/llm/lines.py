@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loamstone.functions.arrow import flat_map
-from loamstone.sources.tables import table, written
+from loamstone.sources.tables import spread, table, written
 
 LEAST_WORDS = 3
 LEAST_DOCS = 3
@@ -167,7 +167,7 @@ def without_repeated_lines(docs: DataFrame, repeated: DataFrame | None = None) -
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    lines = written(keyed_lines(docs), "keyed_lines")
+    lines = written(keyed_lines(spread(docs)), "keyed_lines")
     return marked_lines(lines, written(repeated_lines(docs, lines, least_share=LEAST_SHARE), "repeated_lines"))
 
 

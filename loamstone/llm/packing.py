@@ -18,7 +18,7 @@ from pyspark.sql.window import Window
 
 from loamstone.functions.arrow import flat_map
 from loamstone.functions.tokens import encoder, path_of
-from loamstone.sources.tables import table, written
+from loamstone.sources.tables import spread, table, written
 
 ROWS_PER_RANK_GROUP = 100_000
 
@@ -158,7 +158,7 @@ def pack(docs: DataFrame, capacities: DataFrame, path: str | None = None) -> Dat
 
 
 def p8_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack(table(spark, sf_dir, "documents"), table(spark, sf_dir, "pack_capacities"))
+    return pack(spread(table(spark, sf_dir, "documents").select("doc_id", "text")), table(spark, sf_dir, "pack_capacities"))
 
 
 def p8_fill(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loamstone.functions.arrow import flat_map
-from loamstone.sources.tables import table
+from loamstone.sources.tables import spread, table
 
 #: Phrases of error and access messages, notices that scripts must run, and filler, lower case.
 ERROR_PHRASES = """
@@ -159,7 +159,7 @@ def drop_residue(df: DataFrame, id_col: str = "id", text_col: str = "text") -> D
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return residue_scores(table(spark, sf_dir, "cleaning_golden")).where("kind is not null and id is not null").select("id")
+    return residue_scores(spread(table(spark, sf_dir, "cleaning_golden").select("id", "text"))).where("kind is not null and id is not null").select("id")
 
 
 def p1_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from loamstone.functions.arrow import flat_map
 from loamstone.llm.language import FUNCTION_WORDS, fold
 from loamstone.llm.lines import LEAST_SHARE, has_words, keys_by_source, line_hash, repeated_lines
-from loamstone.sources.tables import table
+from loamstone.sources.tables import spread, table
 
 #: Function words of languages beside those of the language operator.
 MORE_FUNCTION_WORDS = (
@@ -239,7 +239,7 @@ def text_statistics(docs: DataFrame, repeated: DataFrame | None = None) -> DataF
 
 
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
     return text_statistics(docs).where("not blank and natural_prose = false").select("doc_id")
 
 
