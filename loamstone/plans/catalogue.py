@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES: tuple[str, ...] = ("loamstone.plans.texts", "loamstone.plans.features", "loamstone.plans.similar", "loamstone.plans.mixture", "loamstone.plans.safety", "loamstone.plans.evaluate", "loamstone.plans.cleaning", "loamstone.plans.pipeline")
+MODULES: tuple[str, ...] = ("loamstone.plans.texts", "loamstone.plans.features", "loamstone.plans.similar", "loamstone.plans.mixture", "loamstone.plans.safety", "loamstone.plans.evaluate", "loamstone.plans.cleaning", "loamstone.plans.signals", "loamstone.plans.pipeline")
 
 
 def queries() -> dict:
