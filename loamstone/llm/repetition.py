@@ -24,9 +24,9 @@ from loamstone.sources.tables import table
 RUN = 5  # words of a run that counts as a repeat
 BUCKETS = 512  # buckets of the hashed n-grams, for each mark
 SHARE = 0.4  # share of letters in repeated runs from which a record is found
-#: A document with 40 percent of its letters in repeats has at least one repeated run for every five repeated words;
-#: with words of uneven length that is still more than one n-gram in fifty, the share at which the threshold is set.
-LEAST_REPEATS = 0.02
+#: n-grams weigh as many as their letters have. Repeated n-grams hold every letter of a repeated run at least once and all
+#: n-grams hold no letter more than RUN times, so a record with a share of SHARE has at least this share of repeated weight.
+LEAST_REPEATS = SHARE / RUN
 WORD = re.compile(r"[^\W\d_]+(?:[̀-ͯऀ-ःऺ-ॏً-ْ]+[^\W\d_]*)*")
 
 
@@ -57,7 +57,7 @@ def repeated(text: str | None) -> tuple[int, int, int, int]:
 
 
 def marks(text: str | None) -> dict[int, int]:
-    """Counts of hashed n-grams: bucket of the n-gram's hash, plus BUCKETS where it already occurred in the text."""
+    """Letters of hashed n-grams: bucket of the n-gram's hash, plus BUCKETS where it already occurred in the text."""
     if not text:
         return {}
     w = words(text)
@@ -69,7 +69,7 @@ def marks(text: str | None) -> dict[int, int]:
             b += BUCKETS
         else:
             seen.add(g)
-        counts[b] = counts.get(b, 0) + 1
+        counts[b] = counts.get(b, 0) + sum(map(len, g))
     return counts
 
 
@@ -124,7 +124,7 @@ def repetition_shares(docs: DataFrame, trusted: DataFrame, id_col: str = "id", t
     def make():
         def one(i, t):
             s = score(t, ratios)
-            if s > threshold or not t:
+            if s > threshold + 1e-12 or not t:
                 return [(i, s, False, None)]
             rep, total, _, _ = repeated(t)
             return [(i, s, True, rep / total if total else 0.0)]
