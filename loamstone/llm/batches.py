@@ -8,7 +8,7 @@ of at least SHARE times the longer length (each shared word adds at least one),
 so lengths and angles bound every cell: a query is taken only to blocks with a
 cell that can still hold a holder, cells inside a block are skipped by the
 same bounds, and what passes is reranked by its full vector, then by the longest
-common subsequence of coordinates, bit-parallel, and confirmed on the words. The bounds are exact: no
+common subsequence of word hashes, bit-parallel. The bounds are exact: no
 holder is lost. Texts equal after normalisation form one class with its
 smallest id, so copies cost one vector however many there are.
 
@@ -66,8 +66,11 @@ def words(text: str | None) -> list[str]:
 def vectors(docs: DataFrame) -> DataFrame:
     """(doc_id, digest, n, seq) of every text with words, of docs (doc_id, text); null and blank texts have none.
 
-    seq holds the coordinate of every word in its order, 16 bits each: the
-    full vector is its histogram, and the order serves the rerank.
+    seq holds the 32-bit hash of every word in its order: the full vector is
+    the histogram of the hashes over WIDTH buckets, and the order serves the
+    rerank, so that probing a batch reads no text of the history. Two of some
+    hundred words of a pair of texts share a hash about once in 50 000 pairs,
+    which moves their common words by one.
     """
 
     def make():
@@ -83,9 +86,9 @@ def vectors(docs: DataFrame) -> DataFrame:
                 known.clear()
             for x in set(w):
                 if x not in known:
-                    known[x] = xxhash.xxh32_intdigest(x.encode("utf-8", "surrogatepass"), 7) & 0xFFFF
+                    known[x] = xxhash.xxh32_intdigest(x.encode("utf-8", "surrogatepass"), 7)
             joined = " ".join(w).encode("utf-8", "surrogatepass")
-            return [(i, xxhash.xxh128_hexdigest(joined), len(w), array("H", map(known.__getitem__, w)).tobytes())]
+            return [(i, xxhash.xxh128_hexdigest(joined), len(w), array("I", map(known.__getitem__, w)).tobytes())]
 
         return one
 
@@ -138,8 +141,8 @@ def unit(counts: np.ndarray) -> np.ndarray:
 
 def matrix(column: list[bytes]) -> np.ndarray:
     """Word counts by bucket of each sequence of coordinates."""
-    rows = np.repeat(np.arange(len(column)), [len(x) // 2 for x in column])
-    flat = np.frombuffer(b"".join(column), dtype="<u2") % WIDTH
+    rows = np.repeat(np.arange(len(column)), [len(x) // 4 for x in column])
+    flat = np.frombuffer(b"".join(column), dtype="<u4") % WIDTH
     return np.bincount(rows * WIDTH + flat, minlength=len(column) * WIDTH).reshape(-1, WIDTH).astype(np.float32)
 
 
@@ -160,6 +163,13 @@ def fit_centroids(docs: DataFrame, sample: int = SAMPLE, k: int = CENTROIDS, rou
     return c.astype(np.float32)
 
 
+ZONE = 4  # bands of a folder
+
+
+def _figures(df: DataFrame, size, least: str, most: str, angle: str) -> DataFrame:
+    return df.groupBy("band", "centroid").agg(size.alias("size"), F.min(least).alias("least"), F.max(most).alias("most"), F.max(angle).alias("angle"))
+
+
 INDEX = "doc_id long, last_id long, digest string, n int, seq binary, band int, centroid int, angle float"
 
 
@@ -210,15 +220,28 @@ class CellIndex:
         return cls(spark, path, np.array([r["direction"] for r in rows], dtype=np.float32))
 
     def append(self, docs: DataFrame) -> None:
-        place(classes(vectors(docs)), self.centroids).write.mode("append").parquet(f"{self.path}/cells")
+        """Add the texts of docs (doc_id, text)."""
+        self.append_placed(place(classes(vectors(docs)), self.centroids))
 
-    def cells(self) -> DataFrame:
-        return self.spark.read.schema(INDEX).parquet(f"{self.path}/cells")
+    def append_placed(self, placed: DataFrame) -> None:
+        """Add placed classes: one more part of the folder, split by zones of lengths, and the figures of its cells."""
+        import uuid
+
+        part = f"{self.path}/cells/part={uuid.uuid4().hex}"
+        placed.withColumn("zone", F.floor(F.col("band") / ZONE).cast("int")).write.partitionBy("zone").parquet(part)
+        new = self.spark.read.schema(INDEX + ", zone int").parquet(part)
+        _figures(new, F.count("*"), "n", "n", "angle").coalesce(1).write.mode("append").parquet(f"{self.path}/figures")
 
-    def statistics(self, of: DataFrame | None = None) -> list:
-        """Size, lengths and widest angle of every cell: at most bands x centroids rows."""
-        c = self.cells() if of is None else of
-        return c.groupBy("band", "centroid").agg(F.count("*").alias("size"), F.min("n").alias("least"), F.max("n").alias("most"), F.max("angle").alias("angle")).collect()
+    def cells(self, bands: list[int]) -> DataFrame:
+        """The vectors of some bands; folders of other zones are not read."""
+        zones = sorted({b // ZONE for b in bands})
+        c = self.spark.read.schema(INDEX + ", part string, zone int").parquet(f"{self.path}/cells")
+        return c.where(F.col("zone").isin(zones) & F.col("band").isin(sorted(set(bands)))).drop("part", "zone")
+
+    def statistics(self) -> list:
+        """Size, lengths and widest angle of every cell, from the figures of the parts: at most bands x centroids rows."""
+        figures = self.spark.read.schema("band int, centroid int, size long, least int, most int, angle float").parquet(f"{self.path}/figures")
+        return _figures(figures, F.sum("size"), "least", "most", "angle").collect()
 
     def probe(self, queries: DataFrame) -> DataFrame:
         """(q_id, q_digest, x_id, x_digest): pairs of a query class and an indexed class that pass every bound of the vectors.
@@ -277,7 +300,9 @@ class CellIndex:
             return self.spark.createDataFrame([], "q_id long, q_digest string, x_id long, x_digest string")
         many = F.create_map(*[x for cell, b in parts.items() for x in (F.lit(f"{cell[0]}.{cell[1]}"), F.lit(b))])
         key = F.concat_ws(".", F.col("band").cast("string"), F.col("centroid").cast("string"))
-        held = self.cells().withColumn("block", (first[key] + F.pmod(F.xxhash64("digest"), many[key])).cast("int"))
+        # only bands that a query can reach are read
+        asked = [r["band"] for r in queries.select("band").distinct().collect()]
+        held = self.cells([b + k for b in asked for k in (-1, 0, 1)]).withColumn("block", (first[key] + F.pmod(F.xxhash64("digest"), many[key])).cast("int"))
         held = held.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1)))).select("block", "chunk", "doc_id", "digest", "n", "seq", "centroid", "angle")
         meet = _meet(directions)
         return sent.groupBy("block", "chunk").cogroup(held.groupBy("block", "chunk")).applyInArrow(meet, "q_id long, q_digest string, x_id long, x_digest string")
@@ -333,10 +358,10 @@ def _meet(directions: np.ndarray):
                             continue
                         if i != last:
                             last, places = i, {}
-                            for k, w in enumerate(np.frombuffer(qb[i], "<u2").tolist()):
+                            for k, w in enumerate(np.frombuffer(qb[i], "<u4").tolist()):
                                 places[w] = places.get(w, 0) | 1 << k
                         need = math.ceil(SHARE * max(int(qn[i]), int(xn[j])) - 1e-9)
-                        if reaches(places, int(qn[i]), np.frombuffer(xb[j], "<u2").tolist(), need):
+                        if reaches(places, int(qn[i]), np.frombuffer(xb[j], "<u4").tolist(), need):
                             out.append((qid[i], qd[i], int(xid[j]), xd[j]))
         cols = list(zip(*out)) or [[], [], [], []]
         return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema)], schema=schema)
@@ -344,31 +369,6 @@ def _meet(directions: np.ndarray):
     return run
 
 
-def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (q_id, x_id, ...) whose texts are near by the longest common subsequence."""
-    a = texts.select(F.col("doc_id").alias("q_id"), F.col("text").alias("q_text"))
-    b = texts.select(F.col("doc_id").alias("x_id"), F.col("text").alias("x_text"))
-    both = pairs.join(a, "q_id").join(b, "x_id").select("q_id", "q_digest", "x_id", "x_digest", "q_text", "x_text")
-
-    def make():
-        last: dict[int, list[str]] = {}
-
-        def of(i, t):
-            w = last.get(i)
-            if w is None:
-                if len(last) > 64:
-                    last.clear()
-                w = last[i] = words(t)
-            return w
-
-        def one(q, qd, x, xd, qt, xt):
-            return [(q, qd, x, xd)] if near(of(q, qt), of(x, xt)) else []
-
-        return one
-
-    return flat_map(both, make, "q_id long, q_digest string, x_id long, x_digest string")
-
-
 def holders(docs: DataFrame, batch: DataFrame, index: CellIndex | None = None) -> DataFrame:
     """(doc_id, first_doc_id, exact) of every batch row with an earlier holder, the smallest id of all.
 
@@ -377,18 +377,16 @@ def holders(docs: DataFrame, batch: DataFrame, index: CellIndex | None = None) -
     of docs is built where none is given; the batch is appended to it.
     Null and blank texts have no holder. A row repeated under one id is one.
     """
-    index = CellIndex.build(docs, ) if index is None else index
-    before = index.cells()
+    index = CellIndex.build(docs) if index is None else index
     new = written(vectors(batch), "batch_vectors")
     batch_classes = written(place(classes(new), index.centroids), "batch_classes")
-    batch_classes.write.mode("append").parquet(f"{index.path}/cells")
-    del before
+    index.append_placed(batch_classes)
     pairs = written(index.probe(batch_classes), "near_pairs")
-    texts = docs.select("doc_id", "text").unionByName(batch.select("doc_id", "text"))
-    links = confirmed(pairs, texts).select(F.col("q_digest").alias("digest"), F.col("x_id").alias("holder"), F.lit(False).alias("exact"))
+    links = pairs.select(F.col("q_digest").alias("digest"), F.col("x_id").alias("holder"), F.lit(False).alias("exact"))
     # equal texts: the index holds each class under its smallest id
     digests = new.select("doc_id", "digest").distinct()
-    same = index.cells().select("digest", F.col("doc_id").alias("holder")).join(batch_classes.select("digest"), "digest", "left_semi").withColumn("exact", F.lit(True))
+    bands = [r["band"] for r in batch_classes.select("band").distinct().collect()]
+    same = index.cells(bands).select("digest", F.col("doc_id").alias("holder")).join(batch_classes.select("digest"), "digest", "left_semi").withColumn("exact", F.lit(True))
     all_ = links.unionByName(same)
     found = digests.join(all_, "digest").where(F.col("holder") < F.col("doc_id"))
     return found.groupBy("doc_id").agg(F.min(F.struct("holder", (~F.col("exact")).alias("inexact"))).alias("h")).select("doc_id", F.col("h.holder").alias("first_doc_id"), (~F.col("h.inexact")).alias("exact"))

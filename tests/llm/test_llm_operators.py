@@ -324,3 +324,20 @@ def test_every_problem_has_its_queries():
     for n in (1, 2, 3, 4, 5, 6, 7, 9, 10):
         assert f"p{n}_found" in q
     assert "p8_pack" in q
+
+
+def test_batches_one_after_another(spark):
+    """A batch is set against history and the batches before it, by the persisted index alone."""
+    rng = random.Random(9)
+    base = [[f"w{rng.randrange(200)}" for _ in range(40)] for _ in range(6)]
+    row = lambda i, w: (i, " ".join(w))
+    schema = "doc_id long, text string"
+    docs = frame(spark, [row(k, w) for k, w in enumerate(base[:3])], schema)
+    index = batches.CellIndex.build(docs)
+    first = frame(spark, [row(100, edit(base[0], rng, 0.1)), row(101, base[4])], schema)
+    got = {(r["first_doc_id"], r["doc_id"], r["exact"]) for r in batches.holders(None, first, index).collect()}
+    assert got == {(0, 100, False)}
+    again = batches.CellIndex.open(spark, index.path)
+    second = frame(spark, [row(200, base[4]), row(201, edit(base[4], rng, 0.05)), row(202, base[5]), row(203, base[5])], schema)
+    got = {(r["first_doc_id"], r["doc_id"], r["exact"]) for r in batches.holders(None, second, again).collect()}
+    assert got == {(101, 200, True), (101, 201, False), (202, 203, True)}
