@@ -81,22 +81,24 @@ def byte_budget_per_source(spark, d):
 def weighted_interleave(spark, d):
     """O-006, O-007: weighted round robin over sources; the place of every document in the merged stream.
 
-    The place follows from counts: of each other source, the slots before this
-    one. Only the counts per source reach the plan, so no global sort is needed.
+    A round holds at most the sum of the weights, so the order within it is a
+    window over a few rows; rows of the rounds before come from counts of
+    rounds, summed over groups of rounds first. No global sort, no cross join.
     """
     w = F.when(F.col("source").startswith("open-web"), 2).otherwise(1)
     step = 4096
     t = table(spark, d, "documents").where("source is not null").select("source", "doc_id", w.cast("bigint").alias("w"), F.floor(F.col("doc_id") / step).alias("grp"))
-    sums = t.groupBy("source", "w", "grp").agg(F.count("*").alias("n"))
-    before = sums.withColumn("before", F.coalesce(F.sum("n").over(Window.partitionBy("source").orderBy("grp").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("source", "grp", "before")
-    k = F.row_number().over(Window.partitionBy("source", "grp").orderBy("doc_id")) - 1
-    ranked = t.join(before, ["source", "grp"]).select("source", "doc_id", "w", (F.col("before") + k).alias("k"))
-    counts = sums.groupBy("source", "w").agg(F.sum("n").alias("n"))
-    # one row per source, against all documents: the sources are the tiny side
-    other = counts.select(F.col("source").alias("o_source"), F.col("w").alias("o_w"), F.col("n").alias("o_n"))
-    rounds, slot = F.floor(F.col("k") / F.col("w")), F.col("k") % F.col("w")
-    ahead = F.least(F.col("o_n"), rounds * F.col("o_w") + F.when(F.col("o_source") < F.col("source"), F.col("o_w")).when(F.col("o_source") == F.col("source"), slot).otherwise(0))
-    return ranked.join(F.broadcast(other), F.lit(True)).groupBy("source", "doc_id").agg(F.sum(ahead).cast("bigint").alias("seq"))
+    sums = t.groupBy("source", "grp").agg(F.count("*").alias("n"))
+    before = sums.withColumn("before", F.coalesce(F.sum("n").over(Window.partitionBy("source").orderBy("grp").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("n")
+    k = F.col("before") + F.row_number().over(Window.partitionBy("source", "grp").orderBy("doc_id")) - 1
+    ranked = t.join(before, ["source", "grp"]).select("source", "doc_id", F.floor(k / F.col("w")).alias("round"), (k % F.col("w")).alias("slot"))
+    rounds = ranked.groupBy("round").agg(F.count("*").alias("n")).withColumn("block", F.floor(F.col("round") / step))
+    blocks = rounds.groupBy("block").agg(F.sum("n").alias("s"))
+    ahead = blocks.withColumn("ahead", F.coalesce(F.sum("s").over(Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("s")
+    inner = F.coalesce(F.sum("n").over(Window.partitionBy("block").orderBy("round").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = rounds.join(ahead, "block").select("round", (F.col("ahead") + inner).alias("start"))
+    within = F.row_number().over(Window.partitionBy("round").orderBy("source", "slot")) - 1
+    return ranked.withColumn("within", within).join(starts, "round").select("source", "doc_id", (F.col("start") + F.col("within")).cast("bigint").alias("seq"))
 
 
 def ingest_metadata(spark, d):
