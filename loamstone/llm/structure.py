@@ -45,6 +45,8 @@ PROSE = ("prose", "prose_plain")
 PUNCT = ".,;:!?\"'()[]{}<>«»“”„‘’*_-–—…·|/\\`~#>。，、；：？！「」『』（）।؟،"
 LONG = 24
 CUT = re.compile(r"(?<=[.!?])[\"'”»)]*\s+(?=[^\W\d_a-z]|[\"'“«(¿¡])|(?<=[。！？।؟])\s*")
+#: A running number before a list entry; its word is no function word.
+LABEL = re.compile(r"^(?:No|Nr|N|Nº|№)[.º°]?\s*\d+[.):]?\s+")
 CJK = re.compile(r"[぀-ヿ㐀-鿿]")
 LATIN_LOWER = re.compile(r"[a-zß-ÿ]")
 _PROFILE_LOGS = {k: [(p, math.log2(p) if p else 0.0) for p in v] for k, v in PROFILES.items()}
@@ -125,7 +127,11 @@ class Profiler:
             n = max(1, len(s))
             prose = grammar / n > 0.06 and (s.rstrip("\"'”」』）) ")[-1:] in "。！？.!?" or len(s) > 30)
             return ("prose" if prose else "list"), 0.0, (grammar, n - grammar, 0, 0, 0, 0)
+        if s[:1] in "N№" and (m := LABEL.match(s)):
+            s = s[m.end() :]
         ks = self.classes(s.split())
+        if not ks:
+            return "list", 0.0, (0, 0, 1, 0, 0, 0)
         counts = tuple(map(ks.count, range(6)))
         name, d = self.profile(counts)
         n = len(ks)
