@@ -36,7 +36,7 @@ WIDTH = 512
 SHARE = 0.85
 CENTROIDS = 24
 SAMPLE = 4000  # texts that the centroids are fitted on; they decide speed only, never the result
-BLOCK = 16_384  # vectors of a block; vectors of long texts count as several
+BLOCK = 8_192  # vectors of a block; vectors of long texts count as several
 LONG = 500  # words for which a vector counts once
 CHUNK = 16_384  # queries that meet a block in one task
 ANGLE = math.acos(SHARE)
