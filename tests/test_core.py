@@ -203,3 +203,22 @@ def test_library_stands_without_llm():
     for p in root.rglob("*.py"):
         if "llm" not in p.relative_to(root).parts:
             assert "loamstone.llm" not in p.read_text(), p
+
+
+def test_settings(spark, tmp_path):
+    from loamstone.config import Settings, pin
+
+    s = Settings()
+    folder = str(tmp_path / "run")
+    assert pin(spark, folder, s) and not pin(spark, folder, Settings())
+    with pytest.raises(ValueError):
+        pin(spark, folder, s.with_values(min_chars=5))
+    with pytest.raises(ValueError):
+        Settings(min_alpha=2)
+
+
+def test_command_line(capsys):
+    from loamstone.__main__ import main
+
+    assert main(["list"]) == 0 and "flagship" in capsys.readouterr().out
+    assert main(["run", "no_such"]) == 2
