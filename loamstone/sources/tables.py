@@ -50,6 +50,11 @@ def ship_package(spark: SparkSession) -> None:
     app = spark.sparkContext.applicationId
     if app in _shipped:
         return
+    try:
+        folder = shared_dir(spark)
+    except ValueError:  # no shared folder: the workers must have the package on their path
+        _shipped.add(app)
+        return
     import io
     import os
     import zipfile
@@ -58,12 +63,12 @@ def ship_package(spark: SparkSession) -> None:
     name = os.path.basename(root)
     buffer = io.BytesIO()
     with zipfile.ZipFile(buffer, "w") as z:
-        for folder, _, files in sorted(os.walk(root)):
+        for inside, _, files in sorted(os.walk(root)):
             for f in sorted(files):
                 if f.endswith(".py"):
-                    path = os.path.join(folder, f)
+                    path = os.path.join(inside, f)
                     z.write(path, os.path.join(name, os.path.relpath(path, root)))
-    target = f"{shared_dir(spark)}/{name}_{uuid.uuid4().hex}.zip"
+    target = f"{folder}/{name}_{uuid.uuid4().hex}.zip"
     jvm = spark._jvm
     path = jvm.org.apache.hadoop.fs.Path(target)
     out = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path, True)

@@ -222,3 +222,25 @@ def test_command_line(capsys):
 
     assert main(["list"]) == 0 and "flagship" in capsys.readouterr().out
     assert main(["run", "no_such"]) == 2
+
+
+def test_package_ships_into_the_shared_folder(spark, monkeypatch):
+    from loamstone.sources import tables
+
+    monkeypatch.setattr(tables, "_shipped", set())
+    folder = tables.shared_dir(spark)
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    files = lambda: {f.getPath().getName() for f in path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)}
+    tables.ship_package(spark)
+    before = files()
+    assert any(f.startswith("loamstone_") and f.endswith(".zip") for f in before)
+    tables.ship_package(spark)
+    assert files() == before  # once for each application
+
+
+def test_nothing_but_sources_in_the_package():
+    import pathlib
+
+    root = pathlib.Path(__file__).resolve().parents[1] / "loamstone"
+    assert not [p for p in root.rglob("*") if p.is_file() and p.suffix not in (".py", ".pyc")]
