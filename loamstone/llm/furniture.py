@@ -1,13 +1,17 @@
 """Problem 6: page furniture around and within the body of a page.
 
 Every text becomes a small tree: the page, its blocks (runs of lines between
-blank lines or block tags) and their lines. For each node the link-adjusted
-characters per tag are computed, where link characters are those of menu
-words, link phrases and control phrases, and tags are markup tags, bullets
-and separators. The densities of a node's children are summed, the subtree of
-the greatest sum is the body, and the lowest density on its path to the root
-is the threshold. Lines below the threshold that consist of link characters
-are furniture; headings, question marks and lists carry none and stay.
+blank lines), their runs of lines with and without links, and the lines. For
+each node the link-adjusted characters per tag are computed, where link
+characters are those of menu words, link phrases, control phrases and of
+lines that are rows of short items, and tags are the lines themselves, markup
+tags, bullets and separators. The densities of a run's lines are summed, the
+run without links of the greatest sum is the body, and its density is the
+threshold. Lines below it that consist of link characters are furniture,
+whatever their words; headings, question marks and lists carry none and stay.
+A page whose lines are all links has no body. The page and block nodes above
+the body are left out of the threshold: their density falls with the furniture
+they hold, so that pages with much of it would keep some.
 """
 
 from __future__ import annotations
@@ -15,6 +19,7 @@ from __future__ import annotations
 import math
 import re
 from functools import lru_cache
+from itertools import groupby
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -66,6 +71,9 @@ SEPARATORS = re.compile(r"[|»›>/·•←→↑↓\\‹«]|\s{3,}|^\s*[-*•
 MARKUP = re.compile(r"<[^<>\n]{1,300}>")
 BULLET = re.compile(r"^\s*(?:[-*•–+]|\d+[.)])\s+")
 LETTER = re.compile(r"[^\W_]")
+#: What parts the items of a row: spaced separators, wide gaps, running numbers.
+ITEMS = re.compile(r"\s+[|»›>/·•]\s+|\s{2,}|(?:^|\s+)\d{1,2}[.)]\s+")
+CODE = re.compile(r"[={}()`$;<]")
 VERBLIKE_END = re.compile(r"[.!?。！？।؟]['\")\]]*\s*$")
 
 
@@ -84,14 +92,24 @@ def letters(s: str) -> int:
     return len(LETTER.findall(s))
 
 
+def row_items(line: str) -> int:
+    """Number of items of a line that is a row of three and more short items with letters, else 0; code and sentences are none."""
+    plain = line.strip()
+    if CODE.search(plain) or VERBLIKE_END.search(plain) or plain.startswith("|"):
+        return 0
+    parts = [p for p in (x.strip() for x in ITEMS.split(plain)) if p]
+    ok = len(parts) >= 3 and all(len(p.split()) <= 6 and any(ch.isalpha() for ch in p) and not VERBLIKE_END.search(p) for p in parts)
+    return len(parts) if ok else 0
+
+
 def line_counts(line: str) -> tuple[int, int, int, int]:
-    """(letters, link letters, tags, link tags) of one line."""
+    """(letters, link letters, tags, link tags) of one line; the line itself is a tag."""
     phrase, menu, words = patterns()
     tags = len(MARKUP.findall(line))
     plain = MARKUP.sub(" ", line).strip()
     total = letters(plain)
     if not total:
-        return 0, 0, tags + (1 if plain else 0), 1 if plain else 0
+        return 0, 0, tags + 1, 1 if plain else 0
     rest = phrase.sub(" ", plain)
     link = total - letters(rest)
     seps = len(SEPARATORS.findall(plain)) + len(BULLET.findall(plain))
@@ -111,7 +129,7 @@ def line_counts(line: str) -> tuple[int, int, int, int]:
                 link += got
         elif got and link:
             link += got
-    return total, link, tags + seps, (seps + tags if link else 0)
+    return total, link, tags + seps + 1, (seps + tags + 1 if link else 0)
 
 
 def density(c: int, lc: int, t: int, lt: int, body_c: int, body_lc: int) -> float:
@@ -123,17 +141,23 @@ def density(c: int, lc: int, t: int, lt: int, body_c: int, body_lc: int) -> floa
     return c / t * math.log(c / lc1 * t / lt1 + 1) / base
 
 
+def is_link(x: tuple[int, int, int, int]) -> bool:
+    return x[0] > 0 and x[1] >= 0.85 * x[0]
+
+
 def body_threshold(blocks: list[list[tuple[int, int, int, int]]]) -> tuple[float, list[list[float]]]:
-    """Lowest density on the path from the page to the block of the greatest density sum, and all line densities."""
+    """Density of the run without links of the greatest density sum, infinite without such a run, and all line densities."""
     flat = [x for b in blocks for x in b]
-    total = [sum(x[k] for x in flat) for k in range(4)]
-    dens = [[density(*x, total[0], total[1]) for x in b] for b in blocks]
-    sums = [sum(d) for d in dens]
-    if not sums:
-        return 0.0, dens
-    best = max(range(len(sums)), key=lambda k: sums[k])
-    path = [density(*total, total[0], total[1]), density(*[sum(x[k] for x in blocks[best]) for k in range(4)], total[0], total[1])]
-    return min(path), dens
+    c, lc = (sum(x[k] for x in flat) for k in (0, 1))
+    dens = [[density(*x, c, lc) for x in b] for b in blocks]
+    best, threshold = 0.0, math.inf
+    for b, ds in zip(blocks, dens):
+        for linked, run in groupby(zip(b, ds), key=lambda y: is_link(y[0])):
+            run = list(run)
+            total = sum(d for _, d in run)
+            if not linked and total > best:
+                best, threshold = total, density(*[sum(x[k] for x, _ in run) for k in range(4)], c, lc)
+    return threshold, dens
 
 
 def furniture_lines(text: str | None) -> list[tuple[int, float, bool]]:
@@ -142,21 +166,23 @@ def furniture_lines(text: str | None) -> list[tuple[int, float, bool]]:
         return []
     blocks: list[list[tuple[int, int, int, int]]] = [[]]
     where: list[list[int]] = [[]]
-    for no, line in enumerate(text.split("\n"), 1):
+    lines = text.split("\n")
+    for no, line in enumerate(lines, 1):
         if not line.strip():
             if blocks[-1]:
                 blocks.append([])
                 where.append([])
             continue
-        blocks[-1].append(line_counts(line))
+        x = line_counts(line)
+        if x[0] and not is_link(x) and (n := row_items(line)):
+            # lines of as many bars above or below are a table and no menu
+            bars = line.count("|")
+            if not bars or bars not in (lines[k].count("|") for k in (no - 2, no) if 0 <= k < len(lines)):
+                x = (x[0], x[0], max(x[2], n), max(x[2], n))
+        blocks[-1].append(x)
         where[-1].append(no)
     threshold, dens = body_threshold(blocks)
-    out = []
-    for block, nos, ds in zip(blocks, where, dens):
-        for (c, lc, t, _), no, d in zip(block, nos, ds):
-            low = d < max(threshold, 1e-9) or lc == c
-            out.append((no, d, bool(low and c and lc >= 0.85 * c)))
-    return out
+    return [(no, d, d < threshold and is_link(x)) for b, nos, ds in zip(blocks, where, dens) for x, no, d in zip(b, nos, ds)]
 
 
 def page_lines(df: DataFrame, id_col: str = "id", text_col: str = "text") -> DataFrame:

@@ -1,0 +1,17 @@
+"""Cases of the llm operators that a cut would lose."""
+
+from loamstone.llm import furniture
+
+BODY = "The narrow gate was opened by the keeper in the morning, and nobody noticed that the water had risen. "
+
+
+# 6 furniture: rows of words that are on no list
+def test_furniture_beyond_the_lists():
+    def found(*lines):
+        return [no for no, _, f in furniture.furniture_lines("\n".join(lines)) if f]
+
+    assert found(BODY, "Bakery | Gardens | Ferries | Old town", BODY) == [2]
+    assert found(BODY, "Most read", "1. quiet dye recipe  2. stable oven stone  3. uneven city block", BODY) == [2, 3]
+    assert found("Home | Science | Search", "Back to top ↑") == [1, 2]
+    assert found(BODY, "Stone | Weight | Place", "Basalt | 3 kg | Oxby", "Granite | 4 kg | Quenby", BODY) == []
+    assert found(BODY, "- red stone", "# The old gate", "Boil the water, then add the salt.", BODY) == []
