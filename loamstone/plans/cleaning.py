@@ -46,14 +46,14 @@ def cleaned_lines(spark, d):
 
 
 def segments(spark, d):
-    """O-237, O-259, O-260: blocks of documents with place, size and kind."""
+    """O-259, O-260: blocks of documents with place, size and kind."""
     t = table(spark, d, "documents").where("text is not null").select("doc_id", F.posexplode(T.paragraphs(F.col("text"))).alias("k", "p"))
     kind = F.when(F.col("p").startswith("```"), "code").when(F.col("p").rlike(r"^#{1,6} |^== "), "header").when(F.col("p").rlike(r"^\|"), "table").when(F.col("p").rlike(r"^(?:[-*+]|\d+[.)]) "), "list").otherwise("paragraph")
     return t.groupBy(kind.alias("kind")).agg(F.count("*").alias("blocks"), F.sum(F.length("p")).alias("chars"), F.countDistinct("doc_id").alias("documents"))
 
 
 def chunk_plan(spark, d):
-    """O-237, O-088: chunks of at most 3000 estimated tokens of four characters; count per document."""
+    """O-088: number of chunks of 3000 estimated tokens of four characters per document; no text is cut."""
     n = F.length("text")
     return table(spark, d, "documents").where("text is not null").select("doc_id", F.ceil(n / 4.0 / 3000).cast("bigint").alias("chunks"), F.ceil(n / 4.0).cast("bigint").alias("tokens")).where("chunks > 1")
 
@@ -111,7 +111,7 @@ def gene_aging(spark, d):
 
 
 def overlap_router(spark, d):
-    """O-299, O-371, O-376, O-378: each batch row routed by whether its source and hash are known: FAST, VERIFY or FULL."""
+    """O-299, O-376, O-378: each batch row routed by whether its source and hash are known: FAST, VERIFY or FULL."""
     b = table(spark, d, "batch_docs").select("doc_id", "source", T.content_hash(F.col("text")).alias("hash"))
     seen = table(spark, d, "content_hashes").where("hash is not null").select("hash").distinct().withColumn("known_hash", F.lit(True))
     src = table(spark, d, "content_hashes").where("source is not null").select("source").distinct().withColumn("known_source", F.lit(True))

@@ -2,6 +2,7 @@
 
 import random
 
+from loamstone.operators import similarity
 from loamstone.plans import pipeline
 
 SCHEMA = "doc_id long, lang string, source string, domain string, text string"
@@ -25,3 +26,25 @@ def test_cleaned_corpus(spark, tmp_path):
     got = {r["doc_id"]: (r["reject_reason"], r["chars"]) for r in pipeline.cleaned_corpus(spark, d).collect()}
     assert {k: v[0] for k, v in got.items()} == {1: None, 2: "exact_dup", 3: None, 4: "near_dup", 5: "proprietary", 6: None, 7: "empty_text", 8: None}
     assert got[1][1] == len(base[0]) and got[8][1] == len(rows[7][4])
+
+
+def test_simhash_pairs_against_brute_force(spark):
+    rng = random.Random(6)
+    vocab = [f"w{k}" for k in range(80)]
+    rows = []
+    for k in range(30):
+        w = [rng.choice(vocab) for _ in range(150)]
+        rows.append((3 * k, " ".join(w)))
+        w[rng.randrange(150)] = "other"
+        rows += [(3 * k + 1, " ".join(w)), (3 * k + 2, " ".join(reversed(w)))]
+    df = spark.createDataFrame(rows + [(900, None), (901, " ! ")], "doc_id long, text string")
+    h = {r["doc_id"]: r["h"] for r in df.select("doc_id", similarity.simhash(df["text"]).alias("h")).collect()}
+    sets = {i: set(t.split()) for i, t in rows}
+    want = set()
+    for a in sets:
+        for b in sets:
+            bits = ((h[a] ^ h[b]) & (2**64 - 1)).bit_count()
+            if a < b and bits <= 4 and len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= 0.72:
+                want.add((a, b, bits))
+    got = [(r["a"], r["b"], r["distance"]) for r in similarity.simhash_pairs(df).collect()]
+    assert len(got) == len(set(got)) and set(got) == want and {x[2] > 0 for x in want} == {True, False}
