@@ -412,17 +412,18 @@ def p5_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every batch row: held exactly, held nearly or new, with the earliest holder, when its hash was first seen and how often the registry saw it.
 
     first_seen is compared as an instant across its spellings; a hash that is
-    known only from texts no longer at hand is an exact hold without an id.
+    known only from texts no longer at hand is an exact hold without an id,
+    whether or not its time can be read.
     """
     batch = table(spark, sf_dir, "batch_docs").select("doc_id", "batch_no", "text")
     hashed = flat_map(batch, lambda: lambda i, b, t: [(i, b, content_hash(t) if t and t.strip() else None)], "doc_id long, batch_no int, hash string").dropDuplicates(["doc_id"])
     seen = table(spark, sf_dir, "content_hashes").where("hash is not null")
-    instant = F.coalesce(*[F.try_to_timestamp(F.col("first_seen"), F.lit(p)) for p in ("yyyy-MM-dd'T'HH:mm:ssXXX", "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd HH:mm:ssXXX", "yyyy-MM-dd HH:mm:ss", "yyyyMMdd'T'HHmmssX", "yyyy-MM-dd'T'HH:mm:ss.SSSXXX", "yyyy-MM-dd")])
+    instant = F.coalesce(*[F.try_to_timestamp(F.col("first_seen"), F.lit(p)) for p in ("yyyy-MM-dd'T'HH:mm:ssXXX", "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd HH:mm:ssXXX", "yyyy-MM-dd HH:mm:ss", "yyyyMMdd'T'HHmmssX", "yyyy-MM-dd")], F.col("first_seen").try_cast("timestamp"))  # the cast reads fractions of any length
     # only hashes of the batch pass the semi join, so the history is scanned but not shuffled beyond the matches
     mine = hashed.select("hash").where("hash is not null").distinct()
-    seen = seen.join(mine, "hash", "left_semi").groupBy("hash").agg(F.min(instant).alias("first_seen"))
+    seen = seen.join(mine, "hash", "left_semi").groupBy("hash").agg(F.min(instant).alias("first_seen"), F.lit(True).alias("known"))
     registry = table(spark, sf_dir, "corpus_doc_registry").where("content_hash <> ''").join(mine.withColumnRenamed("hash", "content_hash"), "content_hash", "left_semi").groupBy(F.col("content_hash").alias("hash")).agg(F.sum("observation_count").alias("observations"))
     h = holders(table(spark, sf_dir, "documents").select("doc_id", "text"), batch.select("doc_id", "text"))
     out = hashed.join(h, "doc_id", "left").join(seen, "hash", "left").join(registry, "hash", "left")
-    status = F.when(F.col("exact") | (F.col("first_doc_id").isNull() & F.col("first_seen").isNotNull()), "exact").when(F.col("first_doc_id").isNotNull(), "near").otherwise("new")
+    status = F.when(F.col("exact") | (F.col("first_doc_id").isNull() & F.col("known")), "exact").when(F.col("first_doc_id").isNotNull(), "near").otherwise("new")
     return out.select("doc_id", "batch_no", status.alias("status"), "first_doc_id", "first_seen", "observations")

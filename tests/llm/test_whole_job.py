@@ -1,6 +1,8 @@
 """Cases of the llm operators that a cut would lose."""
 
-from loamstone.llm import furniture
+from pyspark.sql import functions as F
+
+from loamstone.llm import batches, furniture
 
 BODY = "The narrow gate was opened by the keeper in the morning, and nobody noticed that the water had risen. "
 
@@ -15,3 +17,20 @@ def test_furniture_beyond_the_lists():
     assert found("Home | Science | Search", "Back to top ↑") == [1, 2]
     assert found(BODY, "Stone | Weight | Place", "Basalt | 3 kg | Oxby", "Granite | 4 kg | Quenby", BODY) == []
     assert found(BODY, "- red stone", "# The old gate", "Boil the water, then add the salt.", BODY) == []
+
+
+# 5 batches: times with fractions, and hashes without a readable time
+def test_status_by_membership(spark, tmp_path):
+    texts = {1: "words of the first text", 2: "words of quite another kind", 3: "a third and last remark", 4: "nothing like the rest here"}
+    h = {k: batches.content_hash(t) for k, t in texts.items()}
+    seen = [(h[1], "s", "2024-01-01T00:00:00.123456+00:00"), (h[1], "s", "2024-03-01T00:00:00Z"), (h[2], "s", "2023-05-01T02:00:00.5+02:00"), (h[3], "s", "some day")]
+    tables = {
+        "batch_docs": ([(100 + k, 1, t) for k, t in texts.items()], "doc_id long, batch_no int, text string"),
+        "documents": ([(9, "unrelated")], "doc_id long, text string"),
+        "content_hashes": (seen, "hash string, source string, first_seen string"),
+        "corpus_doc_registry": ([], "content_hash string, observation_count long"),
+    }
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    got = {r["doc_id"]: (r["status"], r["first_seen"] and r["seen"]) for r in batches.p5_status(spark, str(tmp_path)).withColumn("seen", F.col("first_seen").cast("string")).collect()}
+    assert got == {101: ("exact", "2024-01-01 00:00:00.123456"), 102: ("exact", "2023-05-01 00:00:00.5"), 103: ("exact", None), 104: ("new", None)}
