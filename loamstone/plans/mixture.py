@@ -69,12 +69,47 @@ def sampling_weights(spark, d):
 
 
 def weighted_sample_order(spark, d):
-    """O-310, O-311, O-317: the 200 documents first in a deterministic weighted order (a top-k report)."""
+    """O-311: the 200 documents first in a deterministic weighted order (a top-k report of `weighted_order`)."""
     f = F.conv(F.substring(F.sha2(F.concat(F.lit("s1:"), F.col("doc_id").cast("string")), 256), 1, 13), 16, 10).cast("double") / float(1 << 52)
     w = F.when(F.col("lang") == "en", 1.0).otherwise(2.0)
     return table(spark, d, "documents").select("doc_id", F.round(f / w, 9).alias("score")).orderBy(F.desc("score"), "doc_id").limit(200)
 
 
+def _rank_groups(t, key, groups=4096):
+    """(grp, before) of every row: even ranges of a key in [0, 1), the greatest first, with the rows in earlier groups."""
+    g = t.withColumn("grp", F.least(F.lit(groups - 1), F.floor((1 - F.col(key)) * groups)).cast("int"))
+    sums = g.groupBy("grp").agg(F.count("*").alias("k"))
+    # the only global step: one row a group
+    before = sums.withColumn("before", F.coalesce(F.sum("k").over(Window.orderBy("grp").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("k")
+    return g.join(before, "grp")
+
+
+def weighted_order(spark, d, quotas=None):
+    """O-310, O-317: every document with its rank in the deterministic weighted order and its stage from the tokens before it in id order.
+
+    quotas: documents of a language taken at most, first come by id; a language
+    that it does not name is left out, and without quotas all are taken. Places
+    and ranks come from counts of groups and the order within a group, so no
+    sort holds all documents.
+    """
+    f = F.conv(F.substring(F.sha2(F.concat(F.lit("s1:"), F.col("doc_id").cast("string")), 256), 1, 13), 16, 10).cast("double") / float(1 << 52)
+    w = F.when(F.col("lang") == "en", 1.0).otherwise(2.0)
+    t = table(spark, d, "documents").select("doc_id", "lang", F.round(f / w, 9).alias("score"), F.greatest(F.lit(1), F.floor(F.coalesce(F.length("text"), F.lit(0)) / 4)).cast("bigint").alias("tokens"))
+    if quotas:
+        cap = F.lit(0)
+        for lang, n in quotas.items():
+            cap = F.when(F.col("lang") == lang, n).otherwise(cap)
+        g = t.withColumn("cap", cap).where("cap > 0").withColumn("grp", F.floor(F.col("doc_id") / STEP))
+        sums = g.groupBy("lang", "grp").agg(F.count("*").alias("k"))
+        before = sums.withColumn("before", F.coalesce(F.sum("k").over(Window.partitionBy("lang").orderBy("grp").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("k")
+        place = F.col("before") + F.row_number().over(Window.partitionBy("lang", "grp").orderBy("doc_id"))
+        t = g.join(before, ["lang", "grp"]).withColumn("place", place).where("place <= cap").select("doc_id", "lang", "score", "tokens")
+    x = _prefix(t, "tokens", "cursor")
+    stage = F.when(F.col("cursor") < 50_000, "foundation").when(F.col("cursor") < 150_000, "expansion").when(F.col("cursor") < 300_000, "depth").otherwise("anneal")
+    rank = F.col("before") + F.row_number().over(Window.partitionBy("grp").orderBy(F.desc("score"), "doc_id"))
+    return _rank_groups(x, "score").select(rank.alias("rank"), "doc_id", "lang", "score", stage.alias("stage"))
+
+
 def curriculum_stage_ranges(spark, d):
     """O-303, O-313: stage of every document from the running token cursor in id order."""
     t = table(spark, d, "documents").where("text is not null").select("doc_id", F.greatest(F.lit(1), F.floor(F.length("text") / 4)).cast("bigint").alias("tokens"))
@@ -113,7 +148,7 @@ def top_sources(spark, d):
     return table(spark, d, "documents").groupBy("source").agg(F.sum(F.length("text")).alias("chars"), F.count("*").alias("documents")).orderBy(F.desc("chars"), "source").limit(5)
 
 
-QUERIES = {f.__name__: f for f in (mixture_weights, hash_split, domain_quota_batch, sampling_weights, weighted_sample_order, curriculum_stage_ranges, replay_injection, shard_plan, sequence_windows, top_sources)}
+QUERIES = {f.__name__: f for f in (mixture_weights, hash_split, domain_quota_batch, sampling_weights, weighted_sample_order, weighted_order, curriculum_stage_ranges, replay_injection, shard_plan, sequence_windows, top_sources)}
 
 _F52 = "CAST(CAST('0x' || substr(sha256('{p}' || doc_id), 1, 13) AS BIGINT) AS DOUBLE) / 4503599627370496"
 _TOK = r"len(list_filter(regexp_split_to_array(text, '[\s\x0b\p{Z}\x{85}]+'), lambda x: x <> '')) + 1"
@@ -124,6 +159,7 @@ ORACLE = {
     "domain_quota_batch": "WITH t AS (SELECT doc_id, coalesce(domain,'none') AS domain, row_number() OVER (PARTITION BY coalesce(domain,'none') ORDER BY substr(sha256(CAST(doc_id AS VARCHAR)),1,8), doc_id) AS place FROM documents) SELECT doc_id, domain, place FROM t WHERE place <= floor((SELECT count(*) FROM documents) * 0.15 * 1.15)",
     "sampling_weights": "SELECT lang, count(*) AS documents, round(sum(greatest(1e-6, l * s)), 4) AS weight FROM (SELECT lang, CAST(CASE WHEN lang = 'en' THEN 1.0 WHEN lang IS NULL THEN 0.5 ELSE 1.3 END AS DOUBLE) AS l, CAST(CASE WHEN length(text) > 16000 THEN 0.6 WHEN length(text) > 8000 THEN 0.8 WHEN length(text) < 200 THEN 0.5 ELSE 1.0 END AS DOUBLE) AS s FROM documents WHERE text IS NOT NULL) GROUP BY lang",
     "weighted_sample_order": f"SELECT doc_id, round(({_F52.format(p='s1:')}) / CASE WHEN lang = 'en' THEN 1.0 ELSE 2.0 END, 9) AS score FROM documents ORDER BY score DESC, doc_id LIMIT 200",
+    "weighted_order": f"SELECT row_number() OVER (ORDER BY score DESC, doc_id) AS rank, doc_id, lang, score, CASE WHEN cursor < 50000 THEN 'foundation' WHEN cursor < 150000 THEN 'expansion' WHEN cursor < 300000 THEN 'depth' ELSE 'anneal' END AS stage FROM (SELECT doc_id, lang, round(({_F52.format(p='s1:')}) / CASE WHEN lang = 'en' THEN 1.0 ELSE 2.0 END, 9) AS score, coalesce(sum(greatest(1, coalesce(length(text), 0) // 4)) OVER (ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS cursor FROM documents)",
     "curriculum_stage_ranges": "SELECT CASE WHEN cursor < 50000 THEN 'foundation' WHEN cursor < 150000 THEN 'expansion' WHEN cursor < 300000 THEN 'depth' ELSE 'anneal' END AS stage, count(*) AS documents, CAST(sum(tokens) AS BIGINT) AS tokens, CAST(min(cursor) AS BIGINT) AS first_cursor FROM (SELECT tokens, coalesce(sum(tokens) OVER (ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS cursor FROM (SELECT doc_id, greatest(1, length(text) // 4) AS tokens FROM documents WHERE text IS NOT NULL)) GROUP BY 1",
     "replay_injection": "SELECT doc_id, source, (u // 100) % greatest(doc_id - 1, 1) AS replay_rank FROM (SELECT doc_id, source, CAST('0x' || substr(sha256('r:' || doc_id), 1, 8) AS BIGINT) AS u FROM documents) WHERE u % 100 < 5",
     "shard_plan": f"SELECT CAST(cursor // 20000 AS BIGINT) AS shard, count(*) AS documents, CAST(sum(tokens) AS BIGINT) AS tokens, min(doc_id) AS first_doc_id, max(doc_id) AS last_doc_id FROM {_CUR} GROUP BY 1",

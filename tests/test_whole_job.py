@@ -3,7 +3,7 @@
 import random
 
 from loamstone.operators import similarity
-from loamstone.plans import pipeline
+from loamstone.plans import mixture, pipeline
 
 SCHEMA = "doc_id long, lang string, source string, domain string, text string"
 
@@ -48,3 +48,14 @@ def test_simhash_pairs_against_brute_force(spark):
                 want.add((a, b, bits))
     got = [(r["a"], r["b"], r["distance"]) for r in similarity.simhash_pairs(df).collect()]
     assert len(got) == len(set(got)) and set(got) == want and {x[2] > 0 for x in want} == {True, False}
+
+
+def test_weighted_order_ranks_every_document(spark, tmp_path):
+    rows = [(k, "en" if k % 3 else ("de" if k % 2 else None), "s", None, "text " * (k % 50)) for k in range(5000)]
+    d = folder(spark, tmp_path, documents=(rows, SCHEMA))
+    got = sorted((r["rank"], r["score"], r["doc_id"]) for r in mixture.weighted_order(spark, d).collect())
+    assert [g[0] for g in got] == list(range(1, 5001)) and [g[1:] for g in got] == sorted((g[1:] for g in got), key=lambda x: (-x[0], x[1]))
+    assert [g[2] for g in got[:200]] == [r["doc_id"] for r in mixture.weighted_sample_order(spark, d).collect()]
+    part = mixture.weighted_order(spark, d, {"en": 700, "de": 20}).collect()
+    assert sorted(r["rank"] for r in part) == list(range(1, 721))
+    assert {r["doc_id"] for r in part} == set([k for k, lang, *_ in rows if lang == "en"][:700] + [k for k, lang, *_ in rows if lang == "de"][:20])
