@@ -13,6 +13,8 @@ from loamstone.sources.tables import table
 UI_LINE = r"(?i)^(?:[-*] )?(?:home|search|log in|register|my account|share|print this page|back to top.*|skip to main content|load more.*|advertisement)$"
 COPY_LINE = r"(?i)(?:all rights reserved|terms \| privacy|registered name of)"
 PROMO = r"(?i)^(?:subscribe|download our app|sponsored:|follow .* on:|enter your e-mail)"
+#: Characters that the index keeps of a fragment.
+SAMPLE = 200
 
 
 def formatted_items(spark, d):
@@ -83,16 +85,37 @@ def fragment_promotion(spark, d):
     return x.select("key", "doc_frequency", F.round(low, 6).alias("wilson_low"), F.round(place, 6).alias("place"), F.round(conf, 6).alias("confidence"), ((F.col("doc_frequency") >= 3) & (conf >= 0.3)).alias("promoted"))
 
 
+def _trimmed(t, hit):
+    """Documents that lose lines, with what they lose, and whether it is at most 40 percent of the text."""
+    x = t.groupBy("doc_id").agg(F.sum(F.length("line")).alias("chars"), F.sum(F.when(hit, F.length("line")).otherwise(0)).alias("cut"), F.sum(F.when(hit, 1).otherwise(0)).alias("cut_lines"))
+    return x.where("cut > 0").select("doc_id", "cut_lines", "cut", "chars", (F.col("cut") <= 0.4 * F.col("chars")).alias("trimmed"))
+
+
 def safe_trim(spark, d):
-    """O-366 to O-368: lines that the index promotes taken from documents, unless over 40 percent of a text would go.
+    """O-366 to O-368 for fragments that the index holds whole: lines it promotes taken from documents, unless over 40 percent of a text would go.
 
-    The index side is what has been promoted, a small part of the fragments; AQE broadcasts it only under the session's threshold.
+    Samples cut at 200 characters are left to `safe_trim_all`. The index side is
+    what has been promoted, a small part of the fragments; AQE broadcasts it only under the session's threshold.
     """
     bad = table(spark, d, "fragments").where("doc_frequency >= 3 and text_sample is not null and length(text_sample) < 200").select(T.fragment_normalize(F.col("text_sample")).alias("f")).where("length(f) >= 8").distinct()
     t = table(spark, d, "documents").where("text is not null").select("doc_id", F.posexplode(F.split("text", "\n")).alias("k", "line")).withColumn("f", T.fragment_normalize(F.col("line")))
-    j = t.join(bad.withColumn("hit", F.lit(1)), "f", "left")
-    x = j.groupBy("doc_id").agg(F.sum(F.length("line")).alias("chars"), F.sum(F.when(F.col("hit") == 1, F.length("line")).otherwise(0)).alias("cut"), F.sum(F.when(F.col("hit") == 1, 1).otherwise(0)).alias("cut_lines"))
-    return x.where("cut > 0").select("doc_id", "cut_lines", "cut", "chars", (F.col("cut") <= 0.4 * F.col("chars")).alias("trimmed"))
+    return _trimmed(t.join(bad.withColumn("hit", F.lit(True)), "f", "left"), F.col("hit"))
+
+
+def safe_trim_all(spark, d):
+    """O-366 to O-368: as `safe_trim` over all promoted fragments; one whose sample is cut takes the lines that begin with it.
+
+    A line of 200 characters and more is matched by its first 200 beside the whole line, both by equi-joins.
+    """
+    bad = table(spark, d, "fragments").where("doc_frequency >= 3 and text_sample is not null").select(T.fragment_normalize(F.col("text_sample")).alias("f"), (F.length("text_sample") >= SAMPLE).alias("cut")).where("length(f) >= 8")
+    whole, begin = (bad.where(c).select("f").distinct() for c in (~F.col("cut"), F.col("cut")))
+    t = table(spark, d, "documents").where("text is not null").select("doc_id", F.posexplode(F.split("text", "\n")).alias("k", "line"))
+    t = t.withColumn("f", T.fragment_normalize(F.col("line"))).withColumn("p", F.when(F.length("line") >= SAMPLE, T.fragment_normalize(F.substring("line", 1, SAMPLE))))
+    # most lines are short: those without a prefix never meet the second join as one null key
+    short = t.where("p is null").withColumn("long_hit", F.lit(False))
+    long = t.where("p is not null").join(begin.withColumnRenamed("f", "p").withColumn("long_hit", F.lit(True)), "p", "left").select(*short.columns)
+    x = short.unionByName(long).join(whole.withColumn("hit", F.lit(True)), "f", "left")
+    return _trimmed(x, F.coalesce("hit", "long_hit", F.lit(False)))
 
 
 def family_overview(spark, d):
@@ -136,7 +159,7 @@ def best_outputs(spark, d):
     return part.withColumn("r", F.row_number().over(Window.partitionBy("category").orderBy(F.desc("recall"), "id"))).where("r <= 5").select("category", "id", "recall", "r")
 
 
-QUERIES = {f.__name__: f for f in (formatted_items, formatted_rows, qa_pairs, cleaned_lines, segments, chunk_plan, fragment_statistics, fragment_promotion, safe_trim, family_overview, gene_aging, overlap_router, role_sections, best_outputs)}
+QUERIES = {f.__name__: f for f in (formatted_items, formatted_rows, qa_pairs, cleaned_lines, segments, chunk_plan, fragment_statistics, fragment_promotion, safe_trim, safe_trim_all, family_overview, gene_aging, overlap_router, role_sections, best_outputs)}
 
 from loamstone.plans.texts import DEDUP as _D  # noqa: E402
 
@@ -156,4 +179,5 @@ ORACLE = {
     "role_sections": rf"WITH t AS (SELECT id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS k, len(string_split(text, chr(10))) AS n FROM (SELECT DISTINCT id, text FROM cleaning_golden WHERE text IS NOT NULL)) SELECT CASE WHEN regexp_matches(trim(line), '{UI_LINE}') THEN 'navigation' WHEN regexp_matches(trim(line), '{COPY_LINE}') THEN 'rights' WHEN regexp_matches(trim(line), '{PROMO}') THEN 'promotion' WHEN regexp_matches(trim(line), '^#{{1,6}} ') THEN 'heading' WHEN regexp_matches(trim(line), '^(?:[-*+]|\d+[.)]) ') THEN 'list' WHEN regexp_matches(trim(line), '[.!?]$') THEN 'body' ELSE 'other' END AS role, CASE WHEN k * 10 < n THEN 'head' WHEN k * 10 >= n * 9 THEN 'tail' ELSE 'middle' END AS place, count(*) AS lines, CAST(sum(length(line)) AS BIGINT) AS chars FROM t WHERE trim(line) <> '' GROUP BY 1, 2",
     "best_outputs": "SELECT category, id, recall, CAST(r AS INTEGER) AS r FROM (SELECT category, id, recall, row_number() OVER (PARTITION BY category ORDER BY recall DESC, id) AS r FROM (SELECT DISTINCT coalesce(category, 'none') AS category, id, recall FROM redteam_qa WHERE recall IS NOT NULL)) WHERE r <= 5",
     "safe_trim": f"WITH b AS (SELECT DISTINCT {_F.format(c='text_sample')} AS f FROM fragments WHERE doc_frequency >= 3 AND text_sample IS NOT NULL AND length(text_sample) < 200), l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents WHERE text IS NOT NULL), x AS (SELECT doc_id, line, (SELECT count(*) FROM b WHERE b.f = {_F.format(c='line')} AND length(b.f) >= 8) > 0 AS hit FROM l) SELECT doc_id, CAST(sum(CASE WHEN hit THEN 1 ELSE 0 END) AS BIGINT) AS cut_lines, CAST(sum(CASE WHEN hit THEN length(line) ELSE 0 END) AS BIGINT) AS cut, CAST(sum(length(line)) AS BIGINT) AS chars, sum(CASE WHEN hit THEN length(line) ELSE 0 END) <= 0.4 * sum(length(line)) AS trimmed FROM x GROUP BY 1 HAVING sum(CASE WHEN hit THEN length(line) ELSE 0 END) > 0",
+    "safe_trim_all": f"WITH b AS (SELECT DISTINCT {_F.format(c='text_sample')} AS f, length(text_sample) >= 200 AS cut FROM fragments WHERE doc_frequency >= 3 AND text_sample IS NOT NULL), l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents WHERE text IS NOT NULL), x AS (SELECT doc_id, line, {_F.format(c='line')} IN (SELECT f FROM b WHERE NOT cut AND length(f) >= 8) OR (length(line) >= 200 AND {_F.format(c='substr(line, 1, 200)')} IN (SELECT f FROM b WHERE cut AND length(f) >= 8)) AS hit FROM l) SELECT doc_id, CAST(sum(CASE WHEN hit THEN 1 ELSE 0 END) AS BIGINT) AS cut_lines, CAST(sum(CASE WHEN hit THEN length(line) ELSE 0 END) AS BIGINT) AS cut, CAST(sum(length(line)) AS BIGINT) AS chars, sum(CASE WHEN hit THEN length(line) ELSE 0 END) <= 0.4 * sum(length(line)) AS trimmed FROM x GROUP BY 1 HAVING sum(CASE WHEN hit THEN length(line) ELSE 0 END) > 0",
 }

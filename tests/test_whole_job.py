@@ -3,7 +3,7 @@
 import random
 
 from loamstone.operators import similarity
-from loamstone.plans import mixture, pipeline
+from loamstone.plans import cleaning, mixture, pipeline
 
 SCHEMA = "doc_id long, lang string, source string, domain string, text string"
 
@@ -59,3 +59,12 @@ def test_weighted_order_ranks_every_document(spark, tmp_path):
     part = mixture.weighted_order(spark, d, {"en": 700, "de": 20}).collect()
     assert sorted(r["rank"] for r in part) == list(range(1, 721))
     assert {r["doc_id"] for r in part} == set([k for k, lang, *_ in rows if lang == "en"][:700] + [k for k, lang, *_ in rows if lang == "de"][:20])
+
+
+def test_safe_trim_of_cut_samples(spark, tmp_path):
+    long = "the long line of a source that stands in every text of it " * 5
+    docs = [(1, "en", "s", None, long + "one\n" + "own words of this text here " * 40), (2, "en", "s", None, long.upper() + "two\nShort line of the source\nmine"), (3, "en", "s", None, "x" + long)]
+    frags = [(long[:200], 4), ("short line of the source", 3), (long[:150], 9), ("own words of this text here", 2)]
+    d = folder(spark, tmp_path, documents=(docs, SCHEMA), fragments=(frags, "text_sample string, doc_frequency long"))
+    got = {r["doc_id"]: (r["cut_lines"], r["cut"], r["trimmed"]) for r in cleaning.safe_trim_all(spark, d).collect()}
+    assert got == {1: (1, len(long) + 3, True), 2: (2, len(long) + 3 + 24, False)}
