@@ -10,12 +10,13 @@ known given or family names in the manner of one becomes known itself.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loamstone.functions.arrow import flat_map
-from loamstone.sources.tables import table
+from loamstone.sources.tables import table, written
 
 #: Digits and signs of other scripts, one for one, so that positions stay.
 ASCII_SIGNS = {**{ord(c): str(k % 10) for k, c in enumerate("٠١٢٣٤٥٦٧٨٩۰۱۲۳۴۵۶۷۸۹०१२३४५६७८९０１２３４５６７８９")}, ord("＋"): "+", ord("＠"): "@", ord("．"): ".", ord("－"): "-", ord("‐"): "-", ord("‑"): "-", ord("–"): "-", ord(" "): " ", ord(" "): " ", ord("（"): "(", ord("）"): ")"}
@@ -74,6 +75,8 @@ TITLE = frozenset("mr mrs ms miss dr prof sir madam herr frau monsieur madame se
 NAME_BEFORE = re.compile(r"(?:\b(?:contact|signed,|opened by|export for|account holder|as|by|for|hat|(?:el )?(?:lunes|martes|miércoles|jueves|viernes)|aparato es de|appartient à|gehört|dear|from|ask for|regards,|sincerely,|mr\.?|mrs\.?|ms\.?|dr\.?|prof\.?|herr|frau|m\.|mme\.?))\s*(?:(?:dr|prof|ms|mr|mrs)\.?\s)*$", re.IGNORECASE)
 NAME_AFTER = re.compile(r"^(?:,? (?:pointed out|fixed|wrote|said|lists|on [+(\d]|lives|wohnhaft|qui habite|y está|den |revisó|asked|reported|replied|opened|noticed)|,? ?\(|, (?:\d|Flat|Apt|Calle|Avenida|ID|national|tax|my |insurance|passport|identity|social))", re.IGNORECASE)
 THING_AFTER = re.compile(r"^(?:'s)? (?:scheduler|dataset|bridge|street|library|algorithm|method|award|institute|hall|museum|river|station|theorem|test|protocol|model|valley|school|prize|foundation|index|engine|framework|server|cluster|project|release|district|park|road|lane|square)\b", re.IGNORECASE)
+#: Names that are handed to every task (about 1 MB); beyond, they are joined by word.
+HELD = 50_000
 KINDS = ("email", "phone", "id_number", "address", "name")
 
 
@@ -207,16 +210,13 @@ def redact(text: str | None, items: list[tuple[str, int, int, float]]) -> str |
     return "".join([*out, text[at:]])
 
 
-def widen_lexicon(docs: DataFrame, lexicon: DataFrame, rounds: int = 3, least: int = 2, most: int = 50000) -> tuple[frozenset[str], frozenset[str]]:
-    """Given and family names: the lexicon and what the corpus shows beside its names.
+def widen_lexicon(docs: DataFrame, lexicon: DataFrame, rounds: int = 3, least: int = 2) -> DataFrame:
+    """(kind, w): given (g) and family (f) names, of the lexicon and of what the corpus shows beside its names; all of them.
 
     A capitalised word is taken when it stands at least `least` times beside a
     known name as its other half and at least a third of its uses are such.
-    `most` bounds each list (a documented bound on the model, about 1 MB).
+    The names of every round are written, so their number is not bounded.
     """
-    rows = lexicon.where("name is not null").select("name", "kind").distinct().limit(most).collect()
-    given = {r["name"].lower() for r in rows if r["kind"] == "given"}
-    family = {r["name"].lower() for r in rows if r["kind"] == "family"}
 
     def pairs(t):
         got: dict[tuple[str, str], int] = {}
@@ -228,34 +228,56 @@ def widen_lexicon(docs: DataFrame, lexicon: DataFrame, rounds: int = 3, least: i
             got[key] = got.get(key, 0) + 1
         return [(a, b, n) for (a, b), n in got.items()]
 
-    counts = flat_map(docs.select("text"), lambda: pairs, "a string, b string, n long").groupBy("a", "b").agg(F.sum("n").alias("n")).persist()
-    spark = docs.sparkSession
-    single = counts.where("b = ''").select(F.col("a").alias("w"), F.col("n").alias("uses"))
+    kind = F.when(F.col("kind") == "given", "g").when(F.col("kind") == "family", "f")
+    known = written(lexicon.where("name is not null").select(kind.alias("kind"), F.lower("name").alias("w")).where("kind is not null").distinct(), "names")
+    size = known.count()
+    counts = flat_map(docs.select("text"), lambda: pairs, "a string, b string, n long").groupBy("a", "b").agg(F.sum("n").alias("n"))
+    counts = written(counts, "name_pairs")
+    single = counts.where("b = ''").select(F.col("a").alias("key"), F.col("n").alias("uses"))
+    two = counts.where("b <> ''")
     for _ in range(rounds):
-        known = spark.createDataFrame([("g", w) for w in sorted(given)] + [("f", w) for w in sorted(family)], "kind string, w string")
-        g, f = known.where("kind = 'g'").select(F.col("w").alias("gw")), known.where("kind = 'f'").select(F.col("w").alias("fw"))
-        two = counts.where("b <> ''")
-        new_f = two.join(F.broadcast(g), two["a"] == F.col("gw")).groupBy(F.col("b").alias("w")).agg(F.sum("n").alias("n"), F.count("*").alias("partners")).withColumn("kind", F.lit("f"))
-        new_g = two.join(F.broadcast(f), two["b"] == F.col("fw")).groupBy(F.col("a").alias("w")).agg(F.sum("n").alias("n"), F.count("*").alias("partners")).withColumn("kind", F.lit("g"))
-        cand = new_f.unionByName(new_g).where(F.col("n") >= least).where("length(w) > 1")
+        g, f = known.where("kind = 'g'").select(F.col("w").alias("a")), known.where("kind = 'f'").select(F.col("w").alias("b"))
+        new_f = two.join(g, "a").groupBy(F.col("b").alias("w")).agg(F.sum("n").alias("n")).withColumn("kind", F.lit("f"))
+        new_g = two.join(f, "b").groupBy(F.col("a").alias("w")).agg(F.sum("n").alias("n")).withColumn("kind", F.lit("g"))
+        cand = new_f.unionByName(new_g).where(F.col("n") >= least).where("length(w) > 1").where(~F.col("w").isin(*TITLE, *PARTICLES))
         # a name of several words has its own count; else that of the single word
         last = cand.withColumn("key", F.element_at(F.split("w", " "), -1))
-        kept = last.join(single.withColumnRenamed("w", "key"), "key", "left").where("3 * n >= coalesce(uses, n)").select("w", "kind", "n").orderBy(F.desc("n"), "w", "kind").limit(most).collect()
-        before = len(given) + len(family)
-        for r in kept:
-            if r["w"] not in TITLE and r["w"] not in PARTICLES:
-                (given if r["kind"] == "g" else family).add(r["w"])
-        if len(given) + len(family) == before:
+        kept = last.join(single, "key", "left").where("3 * n >= coalesce(uses, n)").select("kind", "w")
+        known = written(known.unionByName(kept).distinct(), "names")
+        before, size = size, known.count()
+        if size == before:
             break
-    counts.unpersist()
-    return frozenset(given), frozenset(family)
+    return known
+
+
+def candidates(text: str | None) -> set[str]:
+    """Every word of a text that may be looked up as a name."""
+    t = text or ""
+    return {m[k].lower() for p, ks in ((FULL, "ab"), (TURNED, "ab"), (INITIAL, "b")) for m in p.finditer(t) for k in ks}
+
+
+def with_names(docs: DataFrame, names: DataFrame, f: Callable[..., list[tuple]], schema: str) -> DataFrame:
+    """f(id, text, given, family) over docs (id, text); the way the names reach a text changes no result.
+
+    Up to HELD names go to every task. More of them are joined to the words of
+    each distinct text, and a text gets those that stand in it.
+    """
+    if names.count() <= HELD:
+        rows = names.collect()
+        given, family = (frozenset(r["w"] for r in rows if r["kind"] == k) for k in "gf")
+        return flat_map(docs, lambda: lambda i, t: f(i, t, given, family), schema)
+    d = docs.withColumn("key", F.sha2("text", 256))
+    words = flat_map(d.select("key", "text").dropDuplicates(["key"]), lambda: lambda k, t: [(k, w) for w in candidates(t)], "key string, w string")
+    own = words.join(names, "w").groupBy("key").agg(F.collect_list(F.when(F.col("kind") == "g", F.col("w"))).alias("given"), F.collect_list(F.when(F.col("kind") == "f", F.col("w"))).alias("family"))
+    d = d.join(own, "key", "left").select("id", "text", "given", "family")
+    return flat_map(d, lambda: lambda i, t, g, n: f(i, t, frozenset(g or ()), frozenset(n or ())), schema)
 
 
 def find_pii(docs: DataFrame, lexicon: DataFrame, id_col: str = "id", text_col: str = "text") -> DataFrame:
     """(id, kind, start_pos, end_pos, score) of every item; repeated rows of an id count once."""
     d = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).dropDuplicates(["id", "text"])
-    given, family = widen_lexicon(d, lexicon)
-    return flat_map(d, lambda: lambda i, t: [(i, *x) for x in spans(t, given, family)], "id string, kind string, start_pos int, end_pos int, score double")
+    found = lambda i, t, given, family: [(i, *x) for x in spans(t, given, family)]
+    return with_names(d, widen_lexicon(d, lexicon), found, "id string, kind string, start_pos int, end_pos int, score double")
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -265,13 +287,12 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p4_redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every record with placeholders in place of its items."""
     d = table(spark, sf_dir, "redteam_qa").select("id", "text").dropDuplicates(["id", "text"])
-    given, family = widen_lexicon(d, table(spark, sf_dir, "name_lexicon"))
 
-    def one(i, t):
+    def one(i, t, given, family):
         items = spans(t, given, family)
         return [(i, redact(t, items), len(items))]
 
-    return flat_map(d, lambda: one, "id string, redacted string, redactions int")
+    return with_names(d, widen_lexicon(d, table(spark, sf_dir, "name_lexicon")), one, "id string, redacted string, redactions int")
 
 
 def p4_per_run(spark: SparkSession, sf_dir: str) -> DataFrame:

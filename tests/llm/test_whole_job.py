@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from loamstone.llm import batches, furniture
+from loamstone.llm import batches, furniture, language, pii
 
 BODY = "The narrow gate was opened by the keeper in the morning, and nobody noticed that the water had risen. "
 
@@ -34,3 +34,22 @@ def test_status_by_membership(spark, tmp_path):
         spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
     got = {r["doc_id"]: (r["status"], r["first_seen"] and r["seen"]) for r in batches.p5_status(spark, str(tmp_path)).withColumn("seen", F.col("first_seen").cast("string")).collect()}
     assert got == {101: ("exact", "2024-01-01 00:00:00.123456"), 102: ("exact", "2023-05-01 00:00:00.5"), 103: ("exact", None), 104: ("new", None)}
+
+
+# 3 and 4: models beyond what a task is handed are joined by word, with the same results
+def test_models_of_any_size(spark, monkeypatch):
+    rows = [("a", f"Contact Mira Holtby today. Signed, Mira Quen{x}al, and {y}ora Holtby wrote. Signed, {y}ora Brun{x}e.") for x in "abcde" for y in ("D", "F", "L")]
+    df = spark.createDataFrame([(f"{i}{k}", t) for k, (i, t) in enumerate(rows)] + [("n", None)], "id string, text string")
+    lex = spark.createDataFrame([("Mira", "given"), ("Holtby", "family")], "name string, kind string")
+    held = sorted(tuple(r) for r in pii.find_pii(df, lex).where("kind = 'name'").collect())
+    names = {(r["kind"], r["w"]) for r in pii.widen_lexicon(df, lex).collect()}
+    monkeypatch.setattr(pii, "HELD", 2)
+    assert sorted(tuple(r) for r in pii.find_pii(df, lex).where("kind = 'name'").collect()) == held and len(held) > 30
+    assert {("g", "dora"), ("f", "quenaal"), ("f", "brunee")} <= names
+
+    ml = [(f"ml-{k}", "c", "en", f"The keeper has opened the zorb{k % 4} gate in the morning.\nDer Wärter hat das Tor am Morgen nicht geöffnet.\nZorb{k % 4} gate keeper morning.") for k in range(40)]
+    ml = spark.createDataFrame(ml + [("ml-x", None, None, None)], "id string, category string, lang string, text string")
+    want = sorted(tuple(r) for r in language.identify(ml).select("id", "line_no", "lang", F.round("confidence", 9)).collect())
+    monkeypatch.setattr(language, "HELD", 2)
+    assert sorted(tuple(r) for r in language.identify(ml).select("id", "line_no", "lang", F.round("confidence", 9)).collect()) == want and len(want) >= 80
+    assert language.learn_words(ml).count() > 2
