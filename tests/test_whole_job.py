@@ -3,7 +3,7 @@
 import random
 
 from loamstone.operators import similarity
-from loamstone.plans import cleaning, mixture, pipeline
+from loamstone.plans import cleaning, mixture, pipeline, safety
 
 SCHEMA = "doc_id long, lang string, source string, domain string, text string"
 
@@ -68,3 +68,10 @@ def test_safe_trim_of_cut_samples(spark, tmp_path):
     d = folder(spark, tmp_path, documents=(docs, SCHEMA), fragments=(frags, "text_sample string, doc_frequency long"))
     got = {r["doc_id"]: (r["cut_lines"], r["cut"], r["trimmed"]) for r in cleaning.safe_trim_all(spark, d).collect()}
     assert got == {1: (1, len(long) + 3, True), 2: (2, len(long) + 3 + 24, False)}
+
+
+def test_licence_after_a_long_text(spark, tmp_path):
+    rows = [(1, "en", "s", None, "plain words " * 1100 + "under the MIT License"), (2, "en", "s", None, "GPL here"), (3, "en", "s", None, None)]
+    d = folder(spark, tmp_path, documents=(rows, SCHEMA))
+    got = {(r["licence"], r["decision"], r["documents"]) for r in safety.license_assessment_all(spark, d).collect()}
+    assert got == {("mit", "KEEP", 1), ("gpl", "FLAG", 1)}
