@@ -4,9 +4,9 @@ Each document becomes a stream of hashed n-grams marked with whether they
 already occurred in it. Two multinomials over the hashed marks are counted by
 grouped aggregation: that of trusted documents, whose measured repetition is
 nil, and that of the raw corpus. The log-likelihood ratio of a document,
-divided by its number of n-grams, falls with its share of repeats; every
-document below a fixed threshold goes on to the exact share of letters in
-repeated runs. No document is sampled or cut.
+divided by its letters in n-grams, falls with its share of repeats; every
+document below a fixed threshold, and none else, is read again for the exact
+share of letters in repeated runs. No document is sampled or cut.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loamstone.functions.arrow import flat_map
-from loamstone.sources.tables import table
+from loamstone.sources.tables import spread, table, written
 
 RUN = 5  # words of a run that counts as a repeat
 BUCKETS = 512  # buckets of the hashed n-grams, for each mark
@@ -73,34 +73,44 @@ def marks(text: str | None) -> dict[int, int]:
     return counts
 
 
-def fit(docs: DataFrame, trusted: DataFrame) -> list[float]:
-    """Log ratio of the trusted to the raw multinomial for each of 2 x BUCKETS marks.
+def counted(text: str | None) -> tuple[int, list[int], list[int]]:
+    """(letters of n-grams met for the first time, buckets of repeated n-grams, their letters) of a text: all that fit and score need of it."""
+    m = marks(text)
+    again = [(b - BUCKETS, n) for b, n in m.items() if b >= BUCKETS]
+    return sum(n for b, n in m.items() if b < BUCKETS), [b for b, _ in again], [n for _, n in again]
+
+
+def fit(summaries: DataFrame, trusted: DataFrame) -> tuple[float, list[float]]:
+    """Log ratio of the trusted to the raw multinomial: of a new n-gram, and of a repeated one by bucket.
 
-    docs: (id, text); trusted: (id). The counts are summed over all
-    documents; what comes to the driver has 2 x BUCKETS rows at most.
+    summaries: (id, fresh, buckets, weights) as of `counted`; trusted: (id).
+    The counts are summed over all documents; what comes to the driver has
+    BUCKETS + 1 rows at most. A repeat is never evidence of a trusted text, a
+    new n-gram never of the opposite: that keeps the score monotone in the repeats.
     """
-    flat = flat_map(docs.select("id", "text"), lambda: lambda i, t: [(i, b, c) for b, c in marks(t).items()], "id string, mark int, n long")
     t = trusted.select(F.col("id").alias("trusted_id")).distinct()
-    j = flat.join(t, flat["id"] == t["trusted_id"], "left")
-    rows = j.groupBy("mark").agg(F.sum("n").alias("raw"), F.sum(F.when(F.col("trusted_id").isNotNull(), F.col("n")).otherwise(0)).alias("good")).collect()
-    raw, good = [1.0] * (2 * BUCKETS), [1.0] * (2 * BUCKETS)
+    j = summaries.join(t, summaries["id"] == t["trusted_id"], "left").withColumn("good", F.col("trusted_id").isNotNull())
+    each = F.explode(F.concat(F.array(F.struct(F.lit(-1).alias("mark"), F.col("fresh").alias("n"))), F.arrays_zip(F.col("buckets").alias("mark"), F.col("weights").alias("n"))))
+    rows = j.select("good", each.alias("x")).groupBy("x.mark").agg(F.sum("x.n").alias("raw"), F.sum(F.when(F.col("good"), F.col("x.n")).otherwise(0)).alias("good")).collect()
+    raw, good = dict.fromkeys(range(-1, BUCKETS), 1.0), dict.fromkeys(range(-1, BUCKETS), 1.0)
     for r in rows:
-        raw[r["mark"]] += r["raw"]
-        good[r["mark"]] += r["good"]
-    a, b = sum(good), sum(raw)
-    # A repeat is never evidence of a trusted text, a new n-gram never of the opposite: that keeps the score monotone in the repeats.
-    new = math.log((sum(good[:BUCKETS]) / a) / (sum(raw[:BUCKETS]) / b))
-    out = [max(0.0, new)] * BUCKETS
-    for k in range(BUCKETS, 2 * BUCKETS):
-        out.append(min(-1.0, math.log((good[k] / a) / (raw[k] / b))))
-    return out
-
-
-def score(text: str | None, ratios: list[float]) -> float:
+        raw[r["mark"]] += r["raw"] or 0
+        good[r["mark"]] += r["good"] or 0
+    a, b = sum(good.values()), sum(raw.values())
+    again = [min(-1.0, math.log((good[k] / a) / (raw[k] / b))) for k in range(BUCKETS)]
+    return max(0.0, math.log((good[-1] / a) / (raw[-1] / b))), again
+
+
+def score(text: str | None, new: float, again: list[float]) -> float:
     """Length-normalised log-likelihood ratio; 0 for texts without a run of words."""
-    m = marks(text)
-    n = sum(m.values())
-    return sum(ratios[b] * c for b, c in m.items()) / n if n else 0.0
+    fresh, buckets, weights = counted(text)
+    n = fresh + sum(weights)
+    return (new * fresh + sum(again[b] * w for b, w in zip(buckets, weights))) / n if n else 0.0
+
+
+def threshold(new: float, again: list[float]) -> float:
+    """Greatest score that a text with a share of SHARE can have."""
+    return (1 - LEAST_REPEATS) * new + LEAST_REPEATS * max(again)
 
 
 def trusted_ids(signals: DataFrame) -> DataFrame:
@@ -116,27 +126,30 @@ def repetition_shares(docs: DataFrame, trusted: DataFrame, id_col: str = "id", t
     repeats; only then can the share reach SHARE, and it is counted exactly.
     Others get a share of null. Repeats of an id count once, by the largest share.
     """
-    d = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text")).dropDuplicates(["id", "text"])
-    ratios = fit(d, trusted)
-    high, low = max(ratios[:BUCKETS]), max(ratios[BUCKETS:])
-    threshold = (1 - LEAST_REPEATS) * high + LEAST_REPEATS * low
-
-    def make():
-        def one(i, t):
-            s = score(t, ratios)
-            if s > threshold + 1e-12 or not t:
-                return [(i, s, False, None)]
-            rep, total, _, _ = repeated(t)
-            return [(i, s, True, rep / total if total else 0.0)]
-
-        return one
-
-    out = flat_map(d, make, "id string, score double, suspect boolean, share double")
-    return out.groupBy("id").agg(F.min("score").alias("score"), F.max("suspect").alias("suspect"), F.max("share").alias("share"))
+    d = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text")).withColumn("key", F.xxhash64("text"))
+    # the one pass over all texts; what it leaves of a text is a few numbers
+    found = flat_map(d, lambda: lambda i, t, k: [(i, k, *counted(t))], "id string, key long, fresh long, buckets array<int>, weights array<long>")
+    found = written(found, "repetition").dropDuplicates(["id", "key"])
+    new, again = fit(found, trusted)
+    n = F.col("fresh") + F.aggregate("weights", F.lit(0).cast("long"), lambda s, x: s + x)
+    ratios = F.array(*map(F.lit, again))
+    total = F.aggregate(F.zip_with("buckets", "weights", lambda b, w: F.get(ratios, b) * w), new * F.col("fresh"), lambda s, x: s + x)
+    scored = found.select("id", "key", n.alias("n"), F.when(n > 0, total / n).otherwise(0.0).alias("score"))
+    scored = scored.withColumn("suspect", F.col("n").isNotNull() & (F.col("n") > 0) & (F.col("score") <= threshold(new, again) + 1e-9))
+    suspects = scored.where("suspect").select("id", "key").distinct()
+    # texts of suspects alone are read again; a null id meets no text and keeps a share of null
+    texts = d.join(suspects, ["id", "key"], "left_semi").select("id", "text")
+
+    def share(i, t):
+        rep, total, _, _ = repeated(t)
+        return [(i, rep / total if total else 0.0)]
+
+    exact = flat_map(texts, lambda: share, "id string, share double").groupBy("id").agg(F.max("share").alias("share"))
+    return scored.groupBy("id").agg(F.min("score").alias("score"), F.max("suspect").alias("suspect")).join(exact, "id", "left")
 
 
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, signals = table(spark, sf_dir, "redteam_adversarial"), table(spark, sf_dir, "quality_signals")
+    docs, signals = spread(table(spark, sf_dir, "redteam_adversarial").select("id", "text")), table(spark, sf_dir, "quality_signals")
     return repetition_shares(docs, trusted_ids(signals)).where(F.col("share") >= SHARE).where("id is not null").select("id")
 
 
