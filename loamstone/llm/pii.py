@@ -11,12 +11,13 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loamstone.functions.arrow import flat_map
-from loamstone.sources.tables import table, written
+from loamstone.sources.tables import spread, table, written
 
 #: Digits and signs of other scripts, one for one, so that positions stay.
 ASCII_SIGNS = {**{ord(c): str(k % 10) for k, c in enumerate("٠١٢٣٤٥٦٧٨٩۰۱۲۳۴۵۶۷۸۹०१२३४५६७८९０１２３４５６７８９")}, ord("＋"): "+", ord("＠"): "@", ord("．"): ".", ord("－"): "-", ord("‐"): "-", ord("‑"): "-", ord("–"): "-", ord(" "): " ", ord(" "): " ", ord("（"): "(", ord("）"): ")"}
@@ -25,6 +26,7 @@ EMAIL = re.compile(
     r"(?<![\w.+@-])(?P<local>\w(?:[\w.+'-]{0,62}\w)?)(?:\s?@\s?|\s?[\[(]\s?at\s?[\])]\s?)(?P<domain>[\w-]+(?:(?:\.|\s?[\[(]\s?dot\s?[\])]\s?)[\w-]+)+)(?![\w@])",
     re.IGNORECASE,
 )
+AT = re.compile(r"[\[(]\s?at\s?[\])]", re.IGNORECASE)
 PLACEHOLDER_LOCAL = {"user", "username", "name", "your", "you", "yourname", "someone", "email", "address", "foo", "xxx", "local"}
 PLACEHOLDER_DOMAIN = re.compile(r"^(?:domain|your-?\w*|host|example|sample|test|site|company|server)\.(?:tld|com|org|net|ext|example|xxx)$", re.IGNORECASE)
 PHONE = re.compile(
@@ -70,6 +72,10 @@ ANY = r"[^\W\d_][\w'’-]*"
 FULL = re.compile(rf"(?<![\w'’@.+-])(?=(?P<a>{ANY}) (?:(?P<m>[A-ZÀ-Þ])\. )?(?P<b>{PARTICLE}{ANY})(?![\w@]))", re.IGNORECASE)
 TURNED = re.compile(rf"(?<![\w'’@.+-])(?=(?P<b>{PARTICLE}{ANY}), (?P<a>{ANY})(?![\w@]))", re.IGNORECASE)
 INITIAL = re.compile(rf"(?<![\w'’@.+-])(?=(?P<i>[A-ZÀ-Þ]\.(?: ?[A-ZÀ-Þ]\.)?) ?(?P<b>{PARTICLE}{ANY})(?![\w@]))", re.IGNORECASE)
+NAME_WORD = re.compile(ANY)
+DIGIT = re.compile(r"\d")
+#: Words that a name can hold before its known one: an initial or two and a particle of two words.
+AHEAD = 4
 PARTICLES = frozenset("van der den de von la del della da di du le ter ten bin al".split())
 TITLE = frozenset("mr mrs ms miss dr prof sir madam herr frau monsieur madame señor señora sr sra contact signed account holder as by for and the".split())
 NAME_BEFORE = re.compile(r"(?:\b(?:contact|signed,|opened by|export for|account holder|as|by|for|hat|(?:el )?(?:lunes|martes|miércoles|jueves|viernes)|aparato es de|appartient à|gehört|dear|from|ask for|regards,|sincerely,|mr\.?|mrs\.?|ms\.?|dr\.?|prof\.?|herr|frau|m\.|mme\.?))\s*(?:(?:dr|prof|ms|mr|mrs)\.?\s)*$", re.IGNORECASE)
@@ -131,14 +137,33 @@ def number_score(raw: str) -> float:
     return 0.2 if 6 <= len(digits) <= 18 else 0.0
 
 
+@lru_cache(4)
+def known_words(given: frozenset[str], family: frozenset[str]) -> frozenset[str]:
+    """Words by which a name can be known: given names and the last words of family names."""
+    return given | {w.rpartition(" ")[2] for w in family}
+
+
+def name_starts(t: str, given: frozenset[str], family: frozenset[str]) -> list[int]:
+    """Where a name with a known word can begin: at most AHEAD words before it. Names are tried there and nowhere else."""
+    known = known_words(given, family)
+    if known.isdisjoint(NAME_WORD.findall(t.lower())):
+        return []
+    words = [(m.start(), m[0].lower()) for m in NAME_WORD.finditer(t)]
+    at: set[int] = set()
+    for k, (_, w) in enumerate(words):
+        if w in known:
+            at.update(range(max(0, k - AHEAD), k + 1))
+    return [words[k][0] for k in sorted(at)]
+
+
 def spans(text: str | None, given: frozenset[str], family: frozenset[str]) -> list[tuple[str, int, int, float]]:
     """(kind, start, end, score) of every confirmed item, in order and without overlap; none for null or blank texts."""
     if text is None or not text.strip():
         return []
-    t = text.translate(ASCII_SIGNS)
+    t = text if text.isascii() else text.translate(ASCII_SIGNS)
     found: list[tuple[str, int, int, float]] = []
 
-    for m in EMAIL.finditer(t):
+    for m in EMAIL.finditer(t) if "@" in t or AT.search(t) else ():
         local, domain = m["local"].lower(), re.sub(r"\s?[\[(]\s?dot\s?[\])]\s?", ".", m["domain"].lower())
         score = 0.8
         if local in PLACEHOLDER_LOCAL and (PLACEHOLDER_DOMAIN.match(domain) or not re.search(r"\.(?:test|example|[a-z]{2,})$", domain)):
@@ -146,10 +171,11 @@ def spans(text: str | None, given: frozenset[str], family: frozenset[str]) -> li
         if re.search(r"\b(?:of the form|such as|format|sample|placeholder|never a true)\b", t[max(0, m.start() - 30) : m.start()], re.IGNORECASE):
             score -= 0.5
         found.append(("email", m.start(), m.end(), score))
-    for m in ADDRESS.finditer(t):
+    figures = bool(DIGIT.search(t))
+    for m in ADDRESS.finditer(t) if figures else ():
         score = 0.35 + (0.3 if CITY_AFTER.match(t[m.end() : m.end() + 60]) else 0) + (0.2 if ADDRESS_NEAR.search(t[max(0, m.start() - 80) : m.start()]) else 0)
         found.append(("address", m.start(), m.end(), score))
-    for m in ID_NUMBER.finditer(t):
+    for m in ID_NUMBER.finditer(t) if figures else ():
         before = t[max(0, m.start() - 60) : m.start()]
         score = number_score(m[0]) + (0.5 if ID_BEFORE.search(before) else 0) - (0.5 if NOT_NUMBER.search(before) else 0)
         if not ID_BEFORE.search(before):
@@ -157,20 +183,15 @@ def spans(text: str | None, given: frozenset[str], family: frozenset[str]) -> li
             if re.search(r"[a-z]", m[0]):
                 score = 0.0
         found.append(("id_number", m.start(), m.end(), score))
-    for m in PHONE.finditer(t):
+    for m in PHONE.finditer(t) if figures else ():
         digits = re.sub(r"\D", "", m[0])
         before = t[max(0, m.start() - 40) : m.start()]
         score = (0.5 if 9 <= len(digits) <= 15 else 0.0) + (0.2 if PHONE_NEAR.search(before) else 0) - (0.5 if NOT_NUMBER.search(before) or ID_BEFORE.search(before) else 0)
         found.append(("phone", m.start(), m.end(), score))
-    taken = [(a, b) for _, a, b, s in found if s >= 0.5]
-    low_given, low_family = given, family
-
-    def free(a: int, b: int) -> bool:
-        return all(b <= x or a >= y for x, y in taken)
-
-    for m in FULL.finditer(t):
+    starts = name_starts(t, given, family)
+    for m in filter(None, (FULL.match(t, k) for k in starts)):
         a, b = m["a"], m["b"]
-        ka, kb = a.lower() in low_given, b.lower() in low_family
+        ka, kb = a.lower() in given, b.lower() in family
         if not (ka or kb) or a.lower() in TITLE:
             continue
         start, end = m.start("a"), m.end("b")
@@ -180,16 +201,16 @@ def spans(text: str | None, given: frozenset[str], family: frozenset[str]) -> li
         if THING_AFTER.match(t[end : end + 24]) or re.search(r"\b[Tt]he\s$", t[max(0, start - 4) : start]):
             score -= 0.6
         found.append(("name", start, end, score))
-    for m in TURNED.finditer(t):
+    for m in filter(None, (TURNED.match(t, k) for k in starts)):
         a, b = m["a"], m["b"]
-        ka, kb = a.lower() in low_given, b.lower() in low_family
+        ka, kb = a.lower() in given, b.lower() in family
         if not (ka and kb):
             near = NAME_BEFORE.search(t[max(0, m.start() - 40) : m.start()]) and a[:1].isupper() and b.split()[-1][:1].isupper()
             if not (near and (ka or kb)):
                 continue
         found.append(("name", m.start(), m.end("a"), 0.75))
-    for m in INITIAL.finditer(t):
-        if m["b"].lower() in low_family and m["i"][0].isupper():
+    for m in filter(None, (INITIAL.match(t, k) for k in starts)):
+        if m["b"].lower() in family and m["i"][0].isupper():
             found.append(("name", m.start(), m.end("b"), 0.7))
     rank = {k: n for n, k in enumerate(("email", "id_number", "phone", "address", "name"))}
     out: list[tuple[str, int, int, float]] = []
@@ -210,6 +231,16 @@ def redact(text: str | None, items: list[tuple[str, int, int, float]]) -> str |
     return "".join([*out, text[at:]])
 
 
+def counted_once(docs: DataFrame) -> DataFrame:
+    """docs (id, text) with the number of rows that are the same record, so that counts can be divided by it.
+
+    Only hashes are shuffled, and only those of repeated rows are joined back.
+    """
+    d = docs.select("id", "text").withColumn("key", F.xxhash64("id", "text"))
+    again = written(d.groupBy("key").agg(F.count("*").alias("copies")).where("copies > 1"), "copies")
+    return d.join(again, "key", "left").select("id", "text", F.coalesce("copies", F.lit(1)).alias("copies"))
+
+
 def widen_lexicon(docs: DataFrame, lexicon: DataFrame, rounds: int = 3, least: int = 2) -> DataFrame:
     """(kind, w): given (g) and family (f) names, of the lexicon and of what the corpus shows beside its names; all of them.
 
@@ -218,7 +249,7 @@ def widen_lexicon(docs: DataFrame, lexicon: DataFrame, rounds: int = 3, least: i
     The names of every round are written, so their number is not bounded.
     """
 
-    def pairs(t):
+    def pairs(t, copies):
         got: dict[tuple[str, str], int] = {}
         for m in PAIR.finditer(t or ""):
             key = (m[1].lower(), m[2].lower())
@@ -226,12 +257,12 @@ def widen_lexicon(docs: DataFrame, lexicon: DataFrame, rounds: int = 3, least: i
         for m in CAPITAL.finditer(t or ""):
             key = (m[0].lower(), "")
             got[key] = got.get(key, 0) + 1
-        return [(a, b, n) for (a, b), n in got.items()]
+        return [(a, b, n / copies) for (a, b), n in got.items()]
 
     kind = F.when(F.col("kind") == "given", "g").when(F.col("kind") == "family", "f")
     known = written(lexicon.where("name is not null").select(kind.alias("kind"), F.lower("name").alias("w")).where("kind is not null").distinct(), "names")
     size = known.count()
-    counts = flat_map(docs.select("text"), lambda: pairs, "a string, b string, n long").groupBy("a", "b").agg(F.sum("n").alias("n"))
+    counts = flat_map(counted_once(docs).select("text", "copies"), lambda: pairs, "a string, b string, n double").groupBy("a", "b").agg(F.round(F.sum("n")).cast("bigint").alias("n"))
     counts = written(counts, "name_pairs")
     single = counts.where("b = ''").select(F.col("a").alias("key"), F.col("n").alias("uses"))
     two = counts.where("b <> ''")
@@ -275,30 +306,30 @@ def with_names(docs: DataFrame, names: DataFrame, f: Callable[..., list[tuple]],
 
 def find_pii(docs: DataFrame, lexicon: DataFrame, id_col: str = "id", text_col: str = "text") -> DataFrame:
     """(id, kind, start_pos, end_pos, score) of every item; repeated rows of an id count once."""
-    d = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).dropDuplicates(["id", "text"])
+    d = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     found = lambda i, t, given, family: [(i, *x) for x in spans(t, given, family)]
-    return with_names(d, widen_lexicon(d, lexicon), found, "id string, kind string, start_pos int, end_pos int, score double")
+    return with_names(d, widen_lexicon(d, lexicon), found, "id string, kind string, start_pos int, end_pos int, score double").distinct()
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return find_pii(table(spark, sf_dir, "redteam_qa"), table(spark, sf_dir, "name_lexicon")).where("id is not null").select("id", "kind", "start_pos").distinct()
+    return find_pii(spread(table(spark, sf_dir, "redteam_qa").select("id", "text")), table(spark, sf_dir, "name_lexicon")).where("id is not null").select("id", "kind", "start_pos").distinct()
 
 
 def p4_redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every record with placeholders in place of its items."""
-    d = table(spark, sf_dir, "redteam_qa").select("id", "text").dropDuplicates(["id", "text"])
+    d = spread(table(spark, sf_dir, "redteam_qa").select("id", "text"))
 
     def one(i, t, given, family):
         items = spans(t, given, family)
         return [(i, redact(t, items), len(items))]
 
-    return with_names(d, widen_lexicon(d, table(spark, sf_dir, "name_lexicon")), one, "id string, redacted string, redactions int")
+    return with_names(d, widen_lexicon(d, table(spark, sf_dir, "name_lexicon")), one, "id string, redacted string, redactions int").distinct()
 
 
 def p4_per_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Items per run of 25 records beside redactions_applied of the latest row of that run."""
     runs = table(spark, sf_dir, "pii_run_stats").where("run_id is not null").groupBy("run_id").agg(F.max("first_id").alias("first_id"), F.max("last_id").alias("last_id"), F.max_by("redactions_applied", "started_at").alias("redactions_applied"))
-    found = find_pii(table(spark, sf_dir, "redteam_qa"), table(spark, sf_dir, "name_lexicon")).groupBy("id").agg(F.count("*").alias("n"))
+    found = find_pii(spread(table(spark, sf_dir, "redteam_qa").select("id", "text")), table(spark, sf_dir, "name_lexicon")).groupBy("id").agg(F.count("*").alias("n"))
     # runs are ranges of 25 ids: a hash join on the run's number of the id instead of a range join
     number = lambda c: F.floor((F.regexp_extract(c, r"(\d+)$", 1).cast("bigint") - 1) / 25)
     prefix = lambda c: F.regexp_extract(c, r"^(.*?)\d+$", 1)
