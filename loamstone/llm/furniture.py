@@ -1,17 +1,20 @@
 """Problem 6: page furniture around and within the body of a page.
 
 Every text becomes a small tree: the page, its blocks (runs of lines between
-blank lines), their runs of lines with and without links, and the lines. For
-each node the link-adjusted characters per tag are computed, where link
-characters are those of menu words, link phrases, control phrases and of
-lines that are rows of short items, and tags are the lines themselves, markup
-tags, bullets and separators. The densities of a run's lines are summed, the
-run without links of the greatest sum is the body, and its density is the
-threshold. Lines below it that consist of link characters are furniture,
-whatever their words; headings, question marks and lists carry none and stay.
-A page whose lines are all links has no body. The page and block nodes above
-the body are left out of the threshold: their density falls with the furniture
-they hold, so that pages with much of it would keep some.
+blank lines) and the lines. For each node the link-adjusted characters per tag
+are computed, where link characters are those of menu words, link phrases,
+control phrases and of lines that are rows of short items, and tags are the
+lines themselves, markup tags, bullets and separators. The densities of the
+lines of a block are summed; the block of the greatest sum holds the body, and
+the path from the page down to it gives the threshold. The phrases only adjust
+the link characters: whether a line is furniture is decided by its density
+against that threshold.
+
+Lines are much shorter than the nodes of a page's markup, so a density is
+taken relative to that of the same node without links, with the line scaled to
+the longest line of the body: a short heading is then as dense as a paragraph,
+and a menu of one word as thin as one of ten. What holds body text as well (four
+words and more beside the links) stays, as does everything without links.
 """
 
 from __future__ import annotations
@@ -19,7 +22,6 @@ from __future__ import annotations
 import math
 import re
 from functools import lru_cache
-from itertools import groupby
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -67,16 +69,78 @@ FURNITURE = [
     r"your browser (?:has scripts turned off;? ?some features will not work\.?|is out of date[^.]*\.|does not support[^.]*\.)",
     r"(?:←|«|<) ?(?:previous|zurück|précédent|anterior)|(?:next|weiter|suivant|siguiente) ?(?:→|»|>)|[←→↑↓☆★]+",
 ]
+#: The signs of the pattern that has no literal.
+ARROWS = "←→↑↓☆★"
 SEPARATORS = re.compile(r"[|»›>/·•←→↑↓\\‹«]|\s{3,}|^\s*[-*•–]\s")
 MARKUP = re.compile(r"<[^<>\n]{1,300}>")
 BULLET = re.compile(r"^\s*(?:[-*•–+]|\d+[.)])\s+")
 LETTER = re.compile(r"[^\W_]")
 #: What parts the items of a row: spaced separators, wide gaps, running numbers.
 ITEMS = re.compile(r"\s+[|»›>/·•]\s+|\s{2,}|(?:^|\s+)\d{1,2}[.)]\s+")
+#: Words beside the links from which a thin line holds body text as well.
+BODY_WORDS = 4
 CODE = re.compile(r"[={}()`$;<]")
 VERBLIKE_END = re.compile(r"[.!?。！？।؟]['\")\]]*\s*$")
 
 
+def literals(parsed) -> frozenset[str]:
+    """Strings of which every match of a parsed pattern holds at least one; empty where there is no such set."""
+    runs: list[frozenset[str]] = []
+    run = ""
+    for op, arg in [*parsed, (None, None)]:
+        if str(op) == "LITERAL":
+            run += chr(arg).lower()
+            continue
+        if run:
+            runs.append(frozenset([run]))
+            run = ""
+        if str(op) == "BRANCH":
+            parts = [literals(x) for x in arg[1]]
+            runs.append(frozenset().union(*parts) if all(parts) else frozenset())
+        elif str(op) == "SUBPATTERN":
+            runs.append(literals(arg[3]))
+        elif str(op) in ("MAX_REPEAT", "MIN_REPEAT") and arg[0]:
+            runs.append(literals(arg[2]))
+    # the set whose shortest string is longest lets the fewest lines through
+    return max((r for r in runs if r), key=lambda r: (min(map(len, r)), -len(r)), default=frozenset())
+
+
+@lru_cache(1)
+def anchors():
+    """Automaton over the strings that the furniture phrases cannot do without, and the signs of its last branch."""
+    import ahocorasick
+    from re import _parser
+
+    a = ahocorasick.Automaton()
+    for p in FURNITURE:
+        for part in _branches(p):
+            for lit in literals(_parser.parse(part)) or ARROWS:
+                a.add_word(lit, lit)
+    a.make_automaton()
+    return a
+
+
+def _branches(pattern: str) -> list[str]:
+    """The alternatives of a pattern at its outermost level."""
+    out, depth, start, inside, k = [], 0, 0, False, 0
+    while k < len(pattern):
+        ch = pattern[k]
+        if ch == "\\":
+            k += 2
+            continue
+        if inside:
+            inside = ch != "]"
+        elif ch == "[":
+            inside = True
+        elif ch in "()":
+            depth += 1 if ch == "(" else -1
+        elif ch == "|" and not depth:
+            out.append(pattern[start:k])
+            start = k + 1
+        k += 1
+    return [*out, pattern[start:]]
+
+
 @lru_cache(1)
 def patterns() -> tuple[re.Pattern, re.Pattern, frozenset[str]]:
     """Furniture phrases, menu words as separate tokens, and the set of menu words."""
@@ -88,8 +152,19 @@ def patterns() -> tuple[re.Pattern, re.Pattern, frozenset[str]]:
     )
 
 
+class _Signs(dict):
+    """Translation table that keeps letters and numbers; entries are made as signs occur."""
+
+    def __missing__(self, c: int) -> int | None:
+        self[c] = value = c if LETTER.match(chr(c)) else None
+        return value
+
+
+_SIGNS = _Signs()
+
+
 def letters(s: str) -> int:
-    return len(LETTER.findall(s))
+    return len(s.translate(_SIGNS))
 
 
 def row_items(line: str) -> int:
@@ -105,13 +180,18 @@ def row_items(line: str) -> int:
 def line_counts(line: str) -> tuple[int, int, int, int]:
     """(letters, link letters, tags, link tags) of one line; the line itself is a tag."""
     phrase, menu, words = patterns()
-    tags = len(MARKUP.findall(line))
-    plain = MARKUP.sub(" ", line).strip()
+    tags, plain = 0, line.strip()
+    if "<" in line:
+        tags = len(MARKUP.findall(line))
+        plain = MARKUP.sub(" ", line).strip()
     total = letters(plain)
     if not total:
         return 0, 0, tags + 1, 1 if plain else 0
-    rest = phrase.sub(" ", plain)
-    link = total - letters(rest)
+    rest, link = plain, 0
+    # the automaton goes first: the phrases are tried only where one of their own strings stands
+    if next(anchors().iter(plain.lower()), None) is not None:
+        rest = phrase.sub(" ", plain)
+        link = total - letters(rest)
     seps = len(SEPARATORS.findall(plain)) + len(BULLET.findall(plain))
     core = BULLET.sub("", rest).strip(" \t|»›>/·•-–*:[]")
     if core and not VERBLIKE_END.search(core):
@@ -141,37 +221,48 @@ def density(c: int, lc: int, t: int, lt: int, body_c: int, body_lc: int) -> floa
     return c / t * math.log(c / lc1 * t / lt1 + 1) / base
 
 
-def is_link(x: tuple[int, int, int, int]) -> bool:
+Counts = tuple[float, float, float, float]
+
+
+def is_link(x: Counts) -> bool:
     return x[0] > 0 and x[1] >= 0.85 * x[0]
 
 
-def body_threshold(blocks: list[list[tuple[int, int, int, int]]]) -> tuple[float, list[list[float]]]:
-    """Density of the run without links of the greatest density sum, infinite without such a run, and all line densities."""
-    flat = [x for b in blocks for x in b]
-    c, lc = (sum(x[k] for x in flat) for k in (0, 1))
-    dens = [[density(*x, c, lc) for x in b] for b in blocks]
-    best, threshold = 0.0, math.inf
-    for b, ds in zip(blocks, dens):
-        for linked, run in groupby(zip(b, ds), key=lambda y: is_link(y[0])):
-            run = list(run)
-            total = sum(d for _, d in run)
-            if not linked and total > best:
-                best, threshold = total, density(*[sum(x[k] for x, _ in run) for k in range(4)], c, lc)
-    return threshold, dens
+def summed(xs: list[Counts]) -> Counts:
+    return tuple(sum(x[k] for x in xs) for k in range(4))
+
+
+def thinness(x: Counts, c: float, lc: float) -> float:
+    """Density of a node relative to that of the same node without links: 1 without links, near 0 for nothing but links."""
+    plain = density(x[0], 0, x[2], 0, c, lc)
+    return density(*x, c, lc) / plain if plain else 1.0
+
+
+def body_threshold(blocks: list[list[Counts]]) -> tuple[float, float]:
+    """(threshold, letters of the longest body line): of the block of the greatest density sum and its path from the page.
+
+    A page whose densest block is links has no body: everything below a node without links is thin there.
+    """
+    page = summed([x for b in blocks for x in b])
+    c, lc = page[:2]
+    best = max((b for b in blocks if b), key=lambda b: sum(density(*x, c, lc) for x in b))
+    body = summed(best)
+    if is_link(body):
+        return 1.0, max(x[0] for x in best)
+    return max(thinness(page, c, lc), thinness(body, c, lc)), max(x[0] for x in best)
 
 
 def furniture_lines(text: str | None) -> list[tuple[int, float, bool]]:
-    """(line number, density, is furniture) of every non-blank line of a text; null and blank texts have none."""
+    """(line number, relative density, is furniture) of every non-blank line of a text; null and blank texts have none."""
     if text is None or not text.strip():
         return []
-    blocks: list[list[tuple[int, int, int, int]]] = [[]]
-    where: list[list[int]] = [[]]
+    blocks: list[list[Counts]] = [[]]
+    where: list[tuple[int, int, Counts]] = []
     lines = text.split("\n")
     for no, line in enumerate(lines, 1):
         if not line.strip():
             if blocks[-1]:
                 blocks.append([])
-                where.append([])
             continue
         x = line_counts(line)
         if x[0] and not is_link(x) and (n := row_items(line)):
@@ -180,9 +271,17 @@ def furniture_lines(text: str | None) -> list[tuple[int, float, bool]]:
             if not bars or bars not in (lines[k].count("|") for k in (no - 2, no) if 0 <= k < len(lines)):
                 x = (x[0], x[0], max(x[2], n), max(x[2], n))
         blocks[-1].append(x)
-        where[-1].append(no)
-    threshold, dens = body_threshold(blocks)
-    return [(no, d, d < threshold and is_link(x)) for b, nos, ds in zip(blocks, where, dens) for x, no, d in zip(b, nos, ds)]
+        where.append((no, len(line.split()), x))
+    c, lc = summed([x for _, _, x in where])[:2]
+    if not c:
+        return [(no, 0.0, False) for no, _, _ in where]
+    threshold, size = body_threshold(blocks)
+    out = []
+    for no, words, (n, link, tags, link_tags) in where:
+        d = 1.0 if not link else thinness((size, link * size / n, tags, link_tags), c, lc)
+        body_words = words * (1 - link / n) if n else 0.0
+        out.append((no, d, d < threshold and body_words < BODY_WORDS))
+    return out
 
 
 def page_lines(df: DataFrame, id_col: str = "id", text_col: str = "text") -> DataFrame:
