@@ -75,8 +75,17 @@ class SparkDialect:
         k = len(named)
         return f"array_max(array({', '.join(f'named_struct({chr(39)}v{chr(39)}, {e}, {chr(39)}o{chr(39)}, {k - i}, {chr(39)}k{chr(39)}, {chr(39)}{name}{chr(39)})' for i, (name, e) in enumerate(named.items()))})).k"
 
-    def number(self, e: str) -> str:
-        return f"CAST({e} AS DOUBLE)"
+    def outside(self, c: str, e: str) -> str:
+        """A text with e, an expression of x, in place of every stretch outside fences."""
+        return f"array_join(transform({self.split(c, '```')}, (x, i) -> CASE WHEN i % 2 = 0 THEN {e} ELSE x END), '```')"
+
+    def lines(self, c: str, cond: str) -> str:
+        """A text without the lines that meet a condition on x."""
+        return f"array_join(filter({self.split(c, chr(92) + 'n')}, x -> NOT ({cond})), '\\n')"
+
+    def once(self, a: str) -> str:
+        """Pieces of a text, each at its first place, by blank lines."""
+        return f"array_join(array_distinct({a}), '\\n\\n')"
 
     def join(self, parts: list[str]) -> str:
         """The non-null ones of some strings, by commas."""
@@ -136,6 +145,15 @@ class DuckDialect(SparkDialect):
         rest = [f"WHEN {e} >= greatest({', '.join(named.values())}) THEN '{name}'" for name, e in named.items()]
         return f"CASE {' '.join(rest)} END"
 
+    def outside(self, c: str, e: str) -> str:
+        return f"array_to_string(list_transform({self.split(c, '```')}, lambda x, i: CASE WHEN i % 2 = 1 THEN {e} ELSE x END), '```')"
+
+    def lines(self, c: str, cond: str) -> str:
+        return f"array_to_string(list_filter({self.split(c, chr(92) + 'n')}, lambda x: NOT ({cond})), chr(10))"
+
+    def once(self, a: str) -> str:
+        return f"array_to_string([({a})[i] FOR i IN range(1, len({a}) + 1) IF list_position({a}, ({a})[i]) = i], chr(10) || chr(10))"
+
     def join(self, parts: list[str]) -> str:
         return f"array_to_string(list_filter([{', '.join(parts)}], lambda x: x IS NOT NULL), ',')"
 

@@ -4,7 +4,7 @@ import duckdb
 import pytest
 
 from loamstone.functions import sheet as H
-from loamstone.plans import decisions, evidence, languages, rights
+from loamstone.plans import curation, decisions, evidence, gates, languages, rights
 
 MIT = "Permission is hereby granted, free of charge, provided that the following conditions are met. The software comes as is, without warranty of merchantability. MIT License, apache license, gnu general public license."
 
@@ -63,3 +63,20 @@ def test_languages(spark):
     texts = ["the cat is on the mat and it was there", "der Hund ist nicht auf dem Sofa und das ist gut", "кошка на столе", "猫がいる", "&&&& %%%% ####", "the cat is on the mat. кошка сидит на столе и спит", "zzz"]
     r = rows(spark, languages.IDENTIFIED, texts, ["lang_found", "mixed", "gate"])
     assert [r[k][0] for k in range(5)] == ["en", "de", "ru", "ja", "und"] and r[5][1] is True and r[6][2] == "unknown_language"
+
+
+def test_cleaning_chain(spark):
+    code = "```\nhome | about | contact | menu\n# todo: keep\n```"
+    page = "<p>In this guide, we boil water [1].</p>\nShare\nfrom wikipedia, the free encyclopedia\n3 comments\nQuestion: why?\n\n" + code + "\n\nThe gate stands. It is old.\n\nThe gate stands. It is old.\n\nReferences\n[2] a book"
+    r = rows(spark, curation.CLEAN, [page, "", "Menu\n" * 60, "plain text stays"], ["cleaned", "over", "dup_ratio"])
+    got = r[0][0]
+    assert "we boil water" in got and code in got and not any(x in got for x in ("Share", "wikipedia", "3 comments", "Question:", "[1]", "a book", "<p>", "In this guide"))
+    assert got.count("The gate stands") == 1 and r[0][2] > 0 and r[2][1] is True and r[3][0] == "plain text stays"
+
+
+def test_gate_reasons(spark):
+    list_page = "Mercury may refer to:\n" + "\n".join(f"Mercury planet {k}" for k in range(8))
+    tags = "".join(f"<div class='x{k}'><span>a</span></div>" for k in range(40))
+    prose = "The theorem was measured in a study because the proof is an example. It means that the force equals mass. " * 6
+    r = rows(spark, gates.GATED, [list_page, tags, prose, "zxcvbnm qwrtpsd bcdfghj \ufffd\ufffd\ufffd\ufffd\ufffd\ufffd\ufffd"], ["gate", "salvage"])
+    assert r[1][0] == "html_dump" and r[2] == ("keep", True) and r[3][0] in ("extreme_corruption", "low_utility")
