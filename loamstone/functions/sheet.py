@@ -75,6 +75,19 @@ class SparkDialect:
         k = len(named)
         return f"array_max(array({', '.join(f'named_struct({chr(39)}v{chr(39)}, {e}, {chr(39)}o{chr(39)}, {k - i}, {chr(39)}k{chr(39)}, {chr(39)}{name}{chr(39)})' for i, (name, e) in enumerate(named.items()))})).k"
 
+    def sha(self, c: str) -> str:
+        return f"sha2({c}, 256)"
+
+    def text_of(self, a: str, sep: str) -> str:
+        return f"array_join({a}, '{sep}')"
+
+    def entropy(self, c: str) -> str:
+        """Bits of a sign, from the runs of the sorted signs."""
+        n = f"greatest(CAST(length({c}) AS DOUBLE), 1D)"
+        add = f"if(s.r > 0, s.h - (s.r / {n}) * log2(s.r / {n}), s.h)"
+        step = f"named_struct('p', x, 'r', if(x = s.p, s.r + 1, 1D), 'h', if(x = s.p, s.h, {add}))"
+        return f"aggregate(array_sort(filter({self.split(c, '')}, x -> x <> '')), named_struct('p', CAST('' AS STRING), 'r', 0D, 'h', 0D), (s, x) -> {step}, s -> {add})"
+
     def outside(self, c: str, e: str) -> str:
         """A text with e, an expression of x, in place of every stretch outside fences."""
         return f"array_join(transform({self.split(c, '```')}, (x, i) -> CASE WHEN i % 2 = 0 THEN {e} ELSE x END), '```')"
@@ -145,6 +158,15 @@ class DuckDialect(SparkDialect):
         rest = [f"WHEN {e} >= greatest({', '.join(named.values())}) THEN '{name}'" for name, e in named.items()]
         return f"CASE {' '.join(rest)} END"
 
+    def sha(self, c: str) -> str:
+        return f"sha256({c})"
+
+    def text_of(self, a: str, sep: str) -> str:
+        return f"array_to_string({a}, '{sep}')"
+
+    def entropy(self, c: str) -> str:
+        return f"coalesce(list_sum(list_transform(map_values(list_aggregate(string_split({c}, ''), 'histogram')), lambda k: -(k / length({c})) * log2(k / length({c})))), 0.0)"
+
     def outside(self, c: str, e: str) -> str:
         return f"array_to_string(list_transform({self.split(c, '```')}, lambda x, i: CASE WHEN i % 2 = 1 THEN {e} ELSE x END), '```')"
 

@@ -6,7 +6,7 @@ would see one line. Every document is one row throughout: nothing is shuffled.
 
 from __future__ import annotations
 
-from loamstone.functions.sheet import DUCK, TOKEN, WORD, WS, Sheet, base, clip, mean, rate, sat, spread
+from loamstone.functions.sheet import TOKEN, WORD, WS, Sheet, base, clip, mean, rate, sat, spread
 from loamstone.sources.tables import spread as spread_scan
 from loamstone.sources.tables import table
 
@@ -234,22 +234,7 @@ SIGNALS = Sheet([
     },
 ])
 SIGNAL_COLUMNS = ("char_entropy", "word_diversity", "line_rep", "char_rep", "alpha", "html", "injection", "reasoning", "code_density", "formatting", "delimiters", "token_spam", "coherence", "structure", "factual", "education", "repeated", "diversity", "synthetic", "reasoning_rep", "burstiness", "template")
-#: Entropy is spelt differently enough to be stated apart; both give bits of a sign.
-ENTROPY = {
-    "c": lambda d: d.filter(d.split("text", ""), "x <> ''"),
-}
-
-
-def _entropy(d) -> str:
-    if d is DUCK:
-        return "coalesce(list_sum(list_transform(map_values(list_aggregate(c, 'histogram')), lambda k: -(k / n) * log2(k / n))), 0.0)"
-    # runs of the sorted signs: each run of k adds k/n * log2(k/n) when it ends
-    add = "if(s.r > 0, s.h - (s.r / n) * log2(s.r / n), s.h)"
-    step = f"named_struct('p', x, 'r', if(x = s.p, s.r + 1, 1D), 'h', if(x = s.p, s.h, {add}))"
-    return f"aggregate(array_sort(c), named_struct('p', CAST('' AS STRING), 'r', 0D, 'h', 0D), (s, x) -> {step}, s -> {add})"
-
-
-ENTROPY_LAYERS = Sheet([ENTROPY, {"char_entropy": _entropy}])
+ENTROPY_LAYERS = Sheet([{"char_entropy": lambda d: d.entropy("text")}])
 SYNTHETIC = Sheet([{"synthetic": "least(1.0, greatest(template * 0.55, repeated * 0.30 + (1.0 - diversity) * 0.25 + greatest(0.0, 0.2 - char_entropy / 10.0) * 0.15))"}])
 MEASURED = RAW + FILTERS + SIGNALS + ENTROPY_LAYERS + SYNTHETIC
 
