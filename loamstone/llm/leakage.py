@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loamstone.functions.arrow import flat_map
-from loamstone.sources.tables import spread, table
+from loamstone.sources.tables import spread, table, written
 
 WINDOW = 13
 BLOCK_CHARS = 16_000_000  # characters of passages that one pass carries to the tasks
@@ -165,7 +165,9 @@ def leaks(docs: DataFrame, items: DataFrame, budget: int = 1) -> DataFrame:
             m = Matcher(block, budget)
             return lambda i, t: [(i, *x) for x in m.match(t)]
 
-        parts.append(flat_map(docs.select("doc_id", "text"), make, "doc_id long, item_id long, run_words int, edits int"))
+        part = flat_map(docs.select("doc_id", "text"), make, "doc_id long, item_id long, run_words int, edits int")
+        # one block of items at a time is held by the driver and the tasks: its rows are written before the next comes
+        parts.append(written(part, "leaks") if blocks > 1 else part)
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -177,7 +179,13 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks(spread(table(spark, sf_dir, "documents").select("doc_id", "text")), table(spark, sf_dir, "eval_items")).where(F.col("run_words") >= WINDOW).select("doc_id", "item_id").distinct()
 
 
+def p9_edited(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a passage not letter by letter: a window within the edit budget where no exact run is long enough, with its edits."""
+    x = leaks(spread(table(spark, sf_dir, "documents").select("doc_id", "text")), table(spark, sf_dir, "eval_items"))
+    return x.where(F.col("run_words") < WINDOW).groupBy("doc_id", "item_id").agg(F.max("run_words").alias("run_words"), F.min("edits").alias("edits"))
+
+
 def p9_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents per leaked item, exact and with an edit."""
-    x = leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
+    x = leaks(spread(table(spark, sf_dir, "documents").select("doc_id", "text")), table(spark, sf_dir, "eval_items"))
     return x.groupBy("item_id").agg(F.countDistinct("doc_id").alias("documents"), F.sum(F.when(F.col("run_words") >= WINDOW, 1).otherwise(0)).alias("exact"), F.max("run_words").alias("longest_run"))

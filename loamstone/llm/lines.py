@@ -9,7 +9,8 @@ are taken out by an anti-join on (source, key), the rest is put together by posi
 
 Shuffles: one, of 16 bytes for each distinct (document, line) pair with
 partial sums on the map side, so a hot source or a hot line is added up
-before it moves. Texts themselves are never shuffled to find the lines.
+before it moves. Texts are never shuffled to find the lines; the lines that
+stay are shuffled once by document to put them together.
 """
 
 from __future__ import annotations
@@ -145,24 +146,30 @@ def keys_by_source(repeated: DataFrame) -> DataFrame:
     return written(repeated.groupBy(F.col("source").alias("r_source")).agg(F.collect_set("key").alias("drop_keys")), "repeated_by_source")
 
 
+def all_lines(docs: DataFrame) -> DataFrame:
+    """(doc_id, source, line_no, key, line) of every line of docs (doc_id, source, text); key is null for lines of fewer than three words."""
+
+    def one(i, source, text):
+        return [(i, source, no, line_hash(line) if has_words(line) else None, line) for no, line in enumerate(text.split("\n"), 1)] if text is not None else []
+
+    return flat_map(docs.select("doc_id", "source", "text"), lambda: one, "doc_id long, source string, line_no int, key long, line string")
+
+
 def without_repeated_lines(docs: DataFrame, repeated: DataFrame | None = None) -> DataFrame:
     """(doc_id, text) with the source's repeated lines taken out and the rest in its order.
 
-    Documents meet the key array of their source by a join that broadcasts
-    only under the session's threshold; texts are then filtered in place.
-    Null texts stay null.
+    An anti-join on (source, key), which is broadcast only under the session's
+    threshold and split by AQE where a source is hot; what is left is put
+    together by position within its document. A document of nothing but
+    repeated lines becomes empty, a null text stays null.
     """
     r = repeated_lines(docs, least_share=LEAST_SHARE) if repeated is None else repeated
-    s = keys_by_source(r)
-    j = docs.select("doc_id", "source", "text").join(s, F.col("source").eqNullSafe(F.col("r_source")), "left").select("doc_id", "drop_keys", "text")
-
-    def one(i, keys, text):
-        if not keys or text is None:
-            return [(i, text)]
-        drop = set(keys)
-        return [(i, "\n".join(x for x in text.split("\n") if not (has_words(x) and line_hash(x) in drop)))]
-
-    return flat_map(j, lambda: one, "doc_id long, text string")
+    r = r.select(F.col("source").alias("r_source"), F.col("key").alias("r_key"))
+    lines = all_lines(docs)
+    left = lines.join(r, (lines["key"] == r["r_key"]) & lines["source"].eqNullSafe(r["r_source"]), "left_anti")
+    texts = left.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("line_no", "line"))).alias("kept")).select("doc_id", F.array_join("kept.line", "\n").alias("rest"))
+    whole = docs.select("doc_id", F.col("text").isNotNull().alias("has"))
+    return whole.join(texts, "doc_id", "left").select("doc_id", F.when(F.col("has"), F.coalesce("rest", F.lit(""))).alias("text"))
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -172,4 +179,4 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p2_cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return without_repeated_lines(table(spark, sf_dir, "documents"))
+    return without_repeated_lines(spread(table(spark, sf_dir, "documents").select("doc_id", "source", "text")))

@@ -1,8 +1,10 @@
 """Problem 1: template residue, error pages and filler in place of content.
 
 A multi-pattern automaton (Aho-Corasick) finds error, script-required and
-filler phrases of several languages in every text; a text is excluded when
-the sentences so matched cover most of its length. Slots of templates that
+filler phrases of several languages in every text; a sentence is matched when
+its phrases make up enough of it, and a text is excluded when matched
+sentences cover at least half of it. Filler in no language is told by the
+printers' words it is mixed from and the lack of any function word. Slots of templates that
 were left unfilled are found by their delimiters, outside code and quotes.
 
 Null and blank texts are never cases. A repeated id is one record.
@@ -17,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loamstone.functions.arrow import flat_map
+from loamstone.llm.language import FUNCTION_WORDS
 from loamstone.sources.tables import spread, table
 
 #: Phrases of error and access messages, notices that scripts must run, and filler, lower case.
@@ -53,34 +56,33 @@ coming soon: content|content for this section|add a short description|in this sp
 sample paragraph|replace this wording|before going live|insert text here|click to edit|default description|sample text|dummy text
 hier steht ihr text|blindtext|texte à remplacer|votre texte ici|su texto aquí|texto de ejemplo|il tuo testo qui|seu texto aqui
 """
-#: Single words that fill a layout, and the invented Latin used for it.
+#: Single words that fill a layout, and the scrambled Latin that printers use for it.
 FILLER_WORDS = frozenset(
     "foo bar baz qux asdf jkl qwerty blah test xxx xxxx xxxxx lorem ipsum dolor sit amet consectetur adipiscing elit sed do eiusmod tempor"
     " incididunt ut labore et dolore magna aliqua enim ad minim veniam quis nostrud exercitation ullamco laboris nisi aliquip ex ea commodo"
     " consequat duis aute irure in reprehenderit voluptate velit esse cillum eu fugiat nulla pariatur excepteur sint occaecat cupidatat non"
-    " proident sunt culpa qui officia deserunt mollit anim id est laborum vexat fugit morbi minima nocte permolo placet quod sedum ornatus"
-    " lunaris incola cursus cantor".split()
+    " proident sunt culpa qui officia deserunt mollit anim id est laborum".split()
 )
 #: Lines that go along with an error message.
 AUX_PHRASES = ("go back", "try our search", "return to the start page", "return to the home page", "reference:", "zurück", "retour", "volver")
 #: The delimiters of slots for values in common template languages and mail-merge tools.
 SLOT = re.compile(
-    r"\{\{[^{}\n]{0,60}\}?\}|\$\{[^{}\n]{0,60}\}|#\{[^{}\n]{0,60}\}|\{%[^%\n]{0,60}%\}|<%=?[^%\n]{0,60}%>|%%\w{1,40}%%|\*\|\w{1,40}\|\*|\[\[\w[\w .]{0,40}\]\]"
-    r"|<<\w{1,40}>>|@@\w{1,40}@@|\$\(\w[\w.]{0,40}\)|(?<!\w)~\w{2,40}~(?!\w)|&lt;\w[\w .]{0,40}&gt;|<\w{1,40}_GOES_HERE>|\[(?:INSERT|insert|Insert)\s[^\]\n]{1,40}\]"
-    r"|\[(?:YOUR|Your|your)\s[^\]\n]{1,40}\]|\[(?:NAME|Name|DATE|TITLE|CITY|COMPANY|ADDRESS|EMAIL|PHONE|FIRST_NAME|FIRST NAME|LAST NAME)\]|(?<!\w)__[A-Z]+(?:_[A-Z]+)*__(?!\w)"
-    r"|(?<![\w{])\{\w{1,30}(?:\.\w{1,30})?\}(?!\w)|(?<!\w)%[sd](?!\w)|\[object Object\]"
+    r"\{\{[^{}\n]*\}?\}|\$\{[^{}\n]*\}|#\{[^{}\n]*\}|\{%[^%\n]*%\}|<%=?[^%\n]*%>|%%\w+%%|\*\|\w+\|\*|\[\[\w[\w .]*\]\]"
+    r"|<<\w+>>|@@\w+@@|\$\(\w[\w.]*\)|(?<!\w)~\w{2,}~(?!\w)|&lt;\w[\w .]*&gt;|<\w+_GOES_HERE>|\[(?:INSERT|insert|Insert)\s[^\]\n]+\]"
+    r"|\[(?:YOUR|Your|your)\s[^\]\n]+\]|\[(?:NAME|Name|DATE|TITLE|CITY|COMPANY|ADDRESS|EMAIL|PHONE|FIRST_NAME|FIRST NAME|LAST NAME)\]|(?<!\w)__[A-Z]+(?:_[A-Z]+)*__(?!\w)"
+    r"|(?<![\w{])\{\w+(?:\.\w+)?\}(?!\w)|(?<!\w)%[sd](?!\w)|\[object Object\]"
     r"|(?-i:<(?!(?:HTML|HEAD|BODY|DIV|SPAN|TABLE|TBODY|THEAD|TITLE|SECTION|ARTICLE|STRONG|IMG|PRE|CODE|NAV|FOOTER|HEADER|MAIN)>)[A-Z]{3,}(?:_[A-Z]+)*>)",
     re.IGNORECASE,
 )
 #: Words printed for a missing value; they count as a slot only where a value belongs.
 EMPTY_VALUE = re.compile(r"(?:^|\b(?:to|on|in|by|about|about|costs|since|hello|dear|at|with|user|and|question:|answer:|\|\s*published))\s*[#>*-]*\s*(?:undefined|nan|null|none)\b(?=\s*(?:$|[.,!?|]|in\b|per\b|and\b|your\b|to\b|on\b|by\b|since\b|answer))", re.IGNORECASE | re.MULTILINE)
 #: Words by which a text speaks of slots instead of leaving one unfilled.
-META = re.compile(r"\b(?:template engine|templates?|placeholders?|braces|format call|in the shell|merge tags?|shown (?:here )?as|the clerk|form letter)\b", re.IGNORECASE)
+META = re.compile(r"\b(?:template engine|templates?|placeholders?|braces|format call|merge tags?)\b", re.IGNORECASE)
 CODE = re.compile(r"```.*?(?:```|\Z)|`[^`\n]*`", re.DOTALL)
-QUOTED = re.compile(r"\"[^\"\n]{1,200}\"|“[^”\n]{1,200}”|«[^»\n]{1,200}»")
-#: Words by which a sentence tells of such messages instead of being one.
-TELLS = re.compile(r"\b(?:error page|error message|a page that says|when a server|the crawler|the reader sees|the browser shows)\b", re.IGNORECASE)
-TAG = re.compile(r"</?(?:p|div|span|br|b|i|em|strong|h[1-6]|a|ul|ol|li|section|article|body|html|head|title|main|noscript)\b[^<>\n]{0,200}>", re.IGNORECASE)
+QUOTED = re.compile(r"\"[^\"\n]+\"|“[^”\n]+”|«[^»\n]+»")
+#: Letters of a sentence for each letter of a phrase in it, beyond which the sentence only mentions it.
+REACH = 16
+TAG = re.compile(r"</?(?:p|div|span|br|b|i|em|strong|h[1-6]|a|ul|ol|li|section|article|body|html|head|title|main|noscript)\b[^<>\n]*>", re.IGNORECASE)
 UNIT = re.compile(r"(?<=[.!?。！？।])\s+|\n+")
 WORD = re.compile(r"[^\W_]+")
 
@@ -89,6 +91,18 @@ def _phrases(text: str) -> list[str]:
     return [p.strip() for line in text.strip().splitlines() for p in line.split("|") if p.strip()]
 
 
+@lru_cache(1)
+def living_words() -> frozenset[str]:
+    """Function words of living languages that scrambled Latin does not use as well."""
+    return frozenset(w for text in FUNCTION_WORDS.values() for w in text.split()) - FILLER_WORDS
+
+
+def is_filler_text(words: list[str]) -> bool:
+    """A text in no language that draws on the printers' words: whatever stands between them was made up to fill."""
+    known = [w for w in words if w in FILLER_WORDS]
+    return len(known) >= 0.1 * len(words) and len(set(known)) >= 2
+
+
 @lru_cache(1)
 def automaton():
     """The phrases of all kinds in one automaton; each hit gives its kind and length."""
@@ -118,19 +132,21 @@ def measure(text: str | None) -> tuple[float, int, str | None]:
     covered = {"error": 0, "script": 0, "filler": 0}
     content = 0
     a = automaton()
-    for unit in UNIT.split(plain):
-        low = " ".join(QUOTED.sub(" ", unit).lower().split())
-        words = WORD.findall(low)
-        if not words:
-            continue
+    units = [(unit, " ".join(QUOTED.sub(" ", unit).lower().split())) for unit in UNIT.split(plain)]
+    units = [(unit, low, words) for unit, low in units if (words := WORD.findall(low))]
+    made_up = is_filler_text([w for _, _, words in units for w in words])
+    for unit, low, words in units:
         size = len("".join(words))
-        kinds = [v[0] for _, v in a.iter(low)]
+        hits = [v for _, v in a.iter(low)]
+        kinds = [k for k, _ in hits]
         filler = sum(w in FILLER_WORDS for w in words)
         main = [k for k in kinds if k != "aux"]
-        if main and len(words) <= 24 and not TELLS.search(low):
+        if main and size <= REACH * sum(n for k, n in hits if k != "aux"):
             covered[main[0]] += size
         elif filler >= 0.6 * len(words) and (filler >= 2 or len(words) == 1 and len(low) > 3):
             covered["filler"] += size
+        elif made_up and len(words) >= 3 and living_words().isdisjoint(words):
+            covered["filler"] += size
         elif "aux" in kinds and len(words) <= 8:
             continue
         elif len(words) >= 6 or (unit.rstrip()[-1:] in ".!?。！？।" and len(words) >= 3) or size > 40:
