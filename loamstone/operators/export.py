@@ -4,11 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from loamstone.functions.tokens import encoded
-
-STEP = 4096
+from loamstone.operators.order import running
 
 
 def write_jsonl(df: DataFrame, path: str, order: str = "seq", partitions: int | None = None) -> None:
@@ -27,22 +25,13 @@ def split_kept_rejected(df: DataFrame, reason: str = "reject_reason") -> tuple[D
     return df.where(F.col(reason).isNull()), df.where(F.col(reason).isNotNull())
 
 
-def cursor(df: DataFrame, size: str, order: str = "doc_id") -> DataFrame:
-    """df with the sum of size over all rows before each, from sums of groups of ids and a window within the group."""
-    g = df.withColumn("_grp", F.floor(F.col(order) / STEP))
-    sums = g.groupBy("_grp").agg(F.sum(size).alias("_s"))
-    before = sums.withColumn("_before", F.coalesce(F.sum("_s").over(Window.orderBy("_grp").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_s")
-    inner = F.coalesce(F.sum(size).over(Window.partitionBy("_grp").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return g.join(before, "_grp").withColumn("cursor", F.col("_before") + inner).drop("_grp", "_before")
-
-
 def token_shards(docs: DataFrame, shard_tokens: int = 65_536, path: str | None = None) -> DataFrame:
     """(shard, tokens, documents, sha256, payload): flat 32-bit token shards in id order; a document lies in the shard where it begins.
 
     A shard is one group of bounded size: shard_tokens and the rest of its last document.
     """
     e = encoded(docs, path).withColumn("n", (F.octet_length("ids") / 4).cast("bigint"))
-    c = cursor(e, "n").withColumn("shard", F.floor(F.col("cursor") / shard_tokens))
+    c = running(e, "n", "cursor", keys=docs).withColumn("shard", F.floor(F.col("cursor") / shard_tokens))
     parts = c.groupBy("shard").agg(F.array_sort(F.collect_list(F.struct("doc_id", "ids"))).alias("d"), F.sum("n").alias("tokens"), F.count("*").alias("documents"))
     hexed = F.array_join(F.transform("d", lambda x: F.hex(x["ids"])), "")
     out = parts.select("shard", "tokens", "documents", F.unhex(hexed).alias("payload"))

@@ -5,24 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from loamstone.operators.order import running
 from loamstone.sources.tables import table
 
-STEP = 4096
-
-
-def _prefix(t, value, key, order="doc_id"):
-    """Running sum before each row over the whole order: sums of id groups first, then within the group.
-
-    The window over groups has rows / STEP rows and no partition; it is the
-    only global step and stays small: a 4096th of the rows, two columns.
-    """
-    g = t.withColumn("grp", F.floor(F.col(order) / STEP))
-    sums = g.groupBy("grp").agg(F.sum(value).alias("s"))
-    before = sums.withColumn("before", F.coalesce(F.sum("s").over(Window.orderBy("grp").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("s")
-    inner = F.coalesce(F.sum(value).over(Window.partitionBy("grp").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return g.join(before, "grp").withColumn(key, F.col("before") + inner).drop("grp", "before")
-
-
 def mixture_weights(spark, d):
     """O-306, O-307, O-314: inverse-gap weights of domains towards equal shares."""
     t = table(spark, d, "documents").groupBy(F.coalesce("domain", F.lit("none")).alias("domain")).agg(F.count("*").alias("n"))
@@ -99,12 +84,9 @@ def weighted_order(spark, d, quotas=None):
         cap = F.lit(0)
         for lang, n in quotas.items():
             cap = F.when(F.col("lang") == lang, n).otherwise(cap)
-        g = t.withColumn("cap", cap).where("cap > 0").withColumn("grp", F.floor(F.col("doc_id") / STEP))
-        sums = g.groupBy("lang", "grp").agg(F.count("*").alias("k"))
-        before = sums.withColumn("before", F.coalesce(F.sum("k").over(Window.partitionBy("lang").orderBy("grp").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("k")
-        place = F.col("before") + F.row_number().over(Window.partitionBy("lang", "grp").orderBy("doc_id"))
-        t = g.join(before, ["lang", "grp"]).withColumn("place", place).where("place <= cap").select("doc_id", "lang", "score", "tokens")
-    x = _prefix(t, "tokens", "cursor")
+        g = t.withColumn("cap", cap).where("cap > 0").withColumn("one", F.lit(1))
+        t = running(g, "one", "place", by=("lang",)).where("place < cap").select("doc_id", "lang", "score", "tokens")
+    x = running(t, "tokens", "cursor")
     stage = F.when(F.col("cursor") < 50_000, "foundation").when(F.col("cursor") < 150_000, "expansion").when(F.col("cursor") < 300_000, "depth").otherwise("anneal")
     rank = F.col("before") + F.row_number().over(Window.partitionBy("grp").orderBy(F.desc("score"), "doc_id"))
     return _rank_groups(x, "score").select(rank.alias("rank"), "doc_id", "lang", "score", stage.alias("stage"))
@@ -113,7 +95,7 @@ def weighted_order(spark, d, quotas=None):
 def curriculum_stage_ranges(spark, d):
     """O-303, O-313: stage of every document from the running token cursor in id order."""
     t = table(spark, d, "documents").where("text is not null").select("doc_id", F.greatest(F.lit(1), F.floor(F.length("text") / 4)).cast("bigint").alias("tokens"))
-    x = _prefix(t, "tokens", "cursor")
+    x = running(t, "tokens", "cursor")
     stage = F.when(F.col("cursor") < 50_000, "foundation").when(F.col("cursor") < 150_000, "expansion").when(F.col("cursor") < 300_000, "depth").otherwise("anneal")
     return x.groupBy(stage.alias("stage")).agg(F.count("*").alias("documents"), F.sum("tokens").alias("tokens"), F.min("cursor").alias("first_cursor"))
 
@@ -130,7 +112,7 @@ def shard_plan(spark, d):
     from loamstone.functions import text as T
 
     t = table(spark, d, "documents").where("text is not null").select("doc_id", (F.size(T.words(F.col("text"))) + 1).cast("bigint").alias("tokens"))
-    x = _prefix(t, "tokens", "cursor").withColumn("shard", F.floor(F.col("cursor") / 20_000))
+    x = running(t, "tokens", "cursor").withColumn("shard", F.floor(F.col("cursor") / 20_000))
     return x.groupBy("shard").agg(F.count("*").alias("documents"), F.sum("tokens").alias("tokens"), F.min("doc_id").alias("first_doc_id"), F.max("doc_id").alias("last_doc_id"))
 
 
@@ -139,7 +121,7 @@ def sequence_windows(spark, d):
     from loamstone.functions import text as T
 
     t = table(spark, d, "documents").where("text is not null").select("doc_id", (F.size(T.words(F.col("text"))) + 1).cast("bigint").alias("tokens"))
-    x = _prefix(t, "tokens", "cursor")
+    x = running(t, "tokens", "cursor")
     return x.select("doc_id", F.floor(F.col("cursor") / 257).alias("first_window"), F.floor((F.col("cursor") + F.col("tokens") - 1) / 257).alias("last_window"), (F.col("cursor") % 257).alias("offset"))
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from loamstone.functions import text as T
+from loamstone.operators.order import running
 from loamstone.sources.tables import spread, table
 
 FLAT = r"trim(regexp_replace(regexp_replace(text,'[\x00-\x08\x0b\x0c\x0e-\x1f]','','g'),'[\s\p{Z}\x{85}]+',' ','g'))"
@@ -70,12 +71,9 @@ def byte_budget_per_source(spark, d):
     The running sum is taken in two steps, over groups of ids and then within
     a group, so that one hot source is not one task's sort.
     """
-    cap, step = 60_000, 4096
-    t = table(spark, d, "documents").select("source", "doc_id", F.octet_length("text").cast("bigint").alias("bytes"), F.floor(F.col("doc_id") / step).alias("grp"))
-    sums = t.groupBy("source", "grp").agg(F.sum("bytes").alias("b"))
-    before = sums.withColumn("before", F.coalesce(F.sum("b").over(Window.partitionBy("source").orderBy("grp").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("b")
-    run = t.join(before, ["source", "grp"]).withColumn("running", F.col("before") + F.sum("bytes").over(Window.partitionBy("source", "grp").orderBy("doc_id").rowsBetween(Window.unboundedPreceding, 0)))
-    return run.where(F.col("running") <= cap).groupBy("source").agg(F.count("*").alias("documents"), F.sum("bytes").alias("bytes"))
+    t = table(spark, d, "documents").select("source", "doc_id", F.octet_length("text").cast("bigint").alias("bytes"))
+    run = running(t, "bytes", "before", by=("source",))
+    return run.where(F.col("before") + F.coalesce("bytes", F.lit(0)) <= 60_000).groupBy("source").agg(F.count("*").alias("documents"), F.sum("bytes").alias("bytes"))
 
 
 def weighted_interleave(spark, d):
@@ -87,11 +85,9 @@ def weighted_interleave(spark, d):
     """
     w = F.when(F.col("source").startswith("open-web"), 2).otherwise(1)
     step = 4096
-    t = table(spark, d, "documents").where("source is not null").select("source", "doc_id", w.cast("bigint").alias("w"), F.floor(F.col("doc_id") / step).alias("grp"))
-    sums = t.groupBy("source", "grp").agg(F.count("*").alias("n"))
-    before = sums.withColumn("before", F.coalesce(F.sum("n").over(Window.partitionBy("source").orderBy("grp").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("n")
-    k = F.col("before") + F.row_number().over(Window.partitionBy("source", "grp").orderBy("doc_id")) - 1
-    ranked = t.join(before, ["source", "grp"]).select("source", "doc_id", F.floor(k / F.col("w")).alias("round"), (k % F.col("w")).alias("slot"))
+    t = table(spark, d, "documents").where("source is not null").select("source", "doc_id", w.cast("bigint").alias("w"), F.lit(1).alias("one"))
+    k = F.col("k")
+    ranked = running(t, "one", "k", by=("source",)).select("source", "doc_id", F.floor(k / F.col("w")).alias("round"), (k % F.col("w")).alias("slot"))
     rounds = ranked.groupBy("round").agg(F.count("*").alias("n")).withColumn("block", F.floor(F.col("round") / step))
     blocks = rounds.groupBy("block").agg(F.sum("n").alias("s"))
     ahead = blocks.withColumn("ahead", F.coalesce(F.sum("s").over(Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("s")
