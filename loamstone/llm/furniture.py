@@ -107,19 +107,28 @@ def literals(parsed) -> frozenset[str]:
 
 @lru_cache(1)
 def anchors():
-    """Automaton over the strings that the furniture phrases cannot do without, and the signs of its last branch."""
+    """Automaton over the strings that the furniture phrases cannot do without, each with the phrases it may stand in."""
     import ahocorasick
     from re import _parser
 
+    where: dict[str, list[int]] = {}
+    for k, p in enumerate(phrases()[0]):
+        for lit in literals(_parser.parse(p)) or ARROWS:
+            where.setdefault(lit, []).append(k)
     a = ahocorasick.Automaton()
-    for p in FURNITURE:
-        for part in _branches(p):
-            for lit in literals(_parser.parse(part)) or ARROWS:
-                a.add_word(lit, lit)
+    for lit, ks in where.items():
+        a.add_word(lit, ks)
     a.make_automaton()
     return a
 
 
+@lru_cache(1)
+def phrases() -> tuple[list[str], list[re.Pattern]]:
+    """The single phrases of all furniture, as stated and compiled."""
+    parts = [part for p in FURNITURE for part in _branches(p)]
+    return parts, [re.compile(f"(?<!\\w)(?:{p})(?!\\w)", re.IGNORECASE) for p in parts]
+
+
 def _branches(pattern: str) -> list[str]:
     """The alternatives of a pattern at its outermost level."""
     out, depth, start, inside, k = [], 0, 0, False, 0
@@ -142,11 +151,10 @@ def _branches(pattern: str) -> list[str]:
 
 
 @lru_cache(1)
-def patterns() -> tuple[re.Pattern, re.Pattern, frozenset[str]]:
-    """Furniture phrases, menu words as separate tokens, and the set of menu words."""
+def patterns() -> tuple[re.Pattern, frozenset[str]]:
+    """Menu words as separate tokens, and the set of them."""
     words = sorted({w.strip() for line in MENU_WORDS.strip().splitlines() for w in line.split("|") if w.strip()}, key=lambda w: (-len(w), w))
     return (
-        re.compile("|".join(f"(?<!\\w)(?:{p})(?!\\w)" for p in FURNITURE), re.IGNORECASE),
         re.compile(r"(?<![\w'’-])(?:" + "|".join(map(re.escape, words)) + r")(?![\w'’-])", re.IGNORECASE),
         frozenset(words),
     )
@@ -179,7 +187,7 @@ def row_items(line: str) -> int:
 
 def line_counts(line: str) -> tuple[int, int, int, int]:
     """(letters, link letters, tags, link tags) of one line; the line itself is a tag."""
-    phrase, menu, words = patterns()
+    menu, words = patterns()
     tags, plain = 0, line.strip()
     if "<" in line:
         tags = len(MARKUP.findall(line))
@@ -189,8 +197,10 @@ def line_counts(line: str) -> tuple[int, int, int, int]:
         return 0, 0, tags + 1, 1 if plain else 0
     rest, link = plain, 0
     # the automaton goes first: the phrases are tried only where one of their own strings stands
-    if next(anchors().iter(plain.lower()), None) is not None:
-        rest = phrase.sub(" ", plain)
+    tried = {k for _, ks in anchors().iter(plain.lower()) for k in ks}
+    if tried:
+        for k in sorted(tried):
+            rest = phrases()[1][k].sub(" ", rest)
         link = total - letters(rest)
     seps = len(SEPARATORS.findall(plain)) + len(BULLET.findall(plain))
     core = BULLET.sub("", rest).strip(" \t|»›>/·•-–*:[]")

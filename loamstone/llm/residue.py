@@ -118,9 +118,25 @@ def automaton():
     return a
 
 
+#: Signs without which there is no slot, and words printed for a missing value.
+SLOT_SIGN = re.compile(r"[{%<\[*@~$&_]|undefined|nan|null|none", re.IGNORECASE)
+
+
+@lru_cache(1)
+def printers_words() -> frozenset[str]:
+    """Filler words that no living language uses as a function word."""
+    return FILLER_WORDS - frozenset(w for text in FUNCTION_WORDS.values() for w in text.split())
+
+
+def may_be_residue(text: str) -> bool:
+    """Whether a text holds anything of residue at all: a phrase, the sign of a slot, a printers' word. Most texts hold none."""
+    low = " ".join(text.lower().split())
+    return next((True for _, v in automaton().iter(low) if v[0] != "aux"), False) or SLOT_SIGN.search(text) is not None or not printers_words().isdisjoint(WORD.findall(low))
+
+
 def measure(text: str | None) -> tuple[float, int, str | None]:
     """Coverage of matched sentences, number of unfilled slots, and kind of the most covered class (None: no case)."""
-    if text is None or not text.strip():
+    if text is None or not text.strip() or not may_be_residue(text):
         return 0.0, 0, None
     plain = TAG.sub(" ", CODE.sub(" ", text))
     scan = QUOTED.sub(" ", plain)
