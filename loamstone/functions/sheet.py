@@ -60,7 +60,7 @@ class SparkDialect:
     def top(self, a: str) -> str:
         """Uses of the most frequent element, by the runs of the sorted array; 0 for an empty one."""
         step = "named_struct('p', x, 'r', if(x = s.p, s.r + 1, 1D), 'b', greatest(s.b, if(x = s.p, s.r + 1, 1D)))"
-        return f"aggregate(array_sort({a}), named_struct('p', CAST('' AS STRING), 'r', 0D, 'b', 0D), (s, x) -> {step}, s -> s.b)"
+        return f"aggregate(sort_array({a}), named_struct('p', CAST('' AS STRING), 'r', 0D, 'b', 0D), (s, x) -> {step}, s -> s.b)"
 
     def pairs(self, a: str) -> str:
         return f"zip_with(slice({a}, 1, greatest(size({a}) - 1, 0)), slice({a}, 2, greatest(size({a}) - 1, 0)), (x, y) -> concat(x, ' ', y))"
@@ -82,11 +82,14 @@ class SparkDialect:
         return f"array_join({a}, '{sep}')"
 
     def entropy(self, c: str) -> str:
-        """Bits of a sign, from the runs of the sorted signs."""
-        n = f"greatest(CAST(length({c}) AS DOUBLE), 1D)"
-        add = f"if(s.r > 0, s.h - (s.r / {n}) * log2(s.r / {n}), s.h)"
+        """Bits of a sign. The count of a sign is the bytes that go with it, over its own; long texts count runs of their sorted signs instead."""
+        bind = "named_struct('t', coalesce({c}, ''), 'n', greatest(CAST(length(coalesce({c}, '')) AS DOUBLE), 1D), 'b', octet_length(coalesce({c}, '')))".format(c=c)
+        counts = "transform(filter(array_distinct(split(v.t, '', -1)), x -> x <> ''), x -> (v.b - octet_length(replace(v.t, x, ''))) / octet_length(x))"
+        few = f"aggregate({counts}, 0D, (s, k) -> s - (k / v.n) * log2(k / v.n))"
+        add = "if(s.r > 0, s.h - (s.r / v.n) * log2(s.r / v.n), s.h)"
         step = f"named_struct('p', x, 'r', if(x = s.p, s.r + 1, 1D), 'h', if(x = s.p, s.h, {add}))"
-        return f"aggregate(array_sort(filter({self.split(c, '')}, x -> x <> '')), named_struct('p', CAST('' AS STRING), 'r', 0D, 'h', 0D), (s, x) -> {step}, s -> {add})"
+        many = f"aggregate(sort_array(filter(split(v.t, '', -1), x -> x <> '')), named_struct('p', CAST('' AS STRING), 'r', 0D, 'h', 0D), (s, x) -> {step}, s -> {add})"
+        return f"element_at(transform(array({bind}), v -> CASE WHEN v.b <= 32768 THEN {few} ELSE {many} END), 1)"
 
     def outside(self, c: str, e: str) -> str:
         """A text with e, an expression of x, in place of every stretch outside fences."""
@@ -165,7 +168,7 @@ class DuckDialect(SparkDialect):
         return f"array_to_string({a}, '{sep}')"
 
     def entropy(self, c: str) -> str:
-        return f"coalesce(list_sum(list_transform(map_values(list_aggregate(string_split({c}, ''), 'histogram')), lambda k: -(k / length({c})) * log2(k / length({c})))), 0.0)"
+        return f"coalesce(list_sum(list_transform(map_values(list_aggregate(list_filter(string_split({c}, ''), lambda x: x <> ''), 'histogram')), lambda k: -(k / length({c})) * log2(k / length({c})))), 0.0)"
 
     def outside(self, c: str, e: str) -> str:
         return f"array_to_string(list_transform({self.split(c, '```')}, lambda x, i: CASE WHEN i % 2 = 1 THEN {e} ELSE x END), '```')"

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from loamstone.functions import features as X
-from loamstone.functions import peers as P
 from loamstone.functions import text as T
 from loamstone.sources.tables import spread, table
 
@@ -22,19 +21,6 @@ def raw_line_features(spark, d):
     return _doc(spark, d).select("doc_id", *[F.round(v, R).alias(k) for k, v in x.items()])
 
 
-def quality_signals_core(spark, d):
-    """O-058, O-059: entropy, diversity, repetition of lines, alphabet share."""
-    t = F.col("text")
-    n = F.length(t).cast("double")
-    return _doc(spark, d).where("length(text) > 0").select("doc_id", F.round(X.entropy(t), R).alias("char_entropy"), F.round(X.word_diversity(t), R).alias("word_diversity"), F.round(X.line_repetition(t), R).alias("line_repetition"), F.round(X.count(t, r"\p{L}") / n, R).alias("alpha_ratio"))
-
-
-def content_filter_scores(spark, d):
-    """O-061, O-064, O-065, O-067, O-068, O-069, O-070, O-071: junk scores."""
-    x = X.filters(F.col("text"))
-    return _doc(spark, d).select("doc_id", *[F.round(v, R).alias(k) for k, v in x.items()])
-
-
 def keyword_stuffing(spark, d):
     """O-066: share of the most frequent word of texts of 40 and more words; counted per document by a partial aggregation."""
     w = _doc(spark, d).select("doc_id", F.explode(T.words(F.lower(F.col("text")))).alias("w"))
@@ -92,31 +78,6 @@ def truncation_signals(spark, d):
     return t.select("doc_id", F.round(p, R).alias("truncation"), sev.alias("severity"))
 
 
-def evidence_channels(spark, d):
-    """O-054 to O-057, O-097, O-102 to O-104: evidence for and against, saturated among peers, with uncertainty and margin."""
-    x = X.raw_features(F.col("text"))
-    f = X.filters(F.col("text"))
-    t = _doc(spark, d).where("length(text) > 0").select("doc_id", *[v.alias(k) for k, v in x.items()], *[v.alias("f_" + k) for k, v in f.items()])
-    w = F.greatest(F.col("words"), F.lit(1.0))
-    pos = F.array(F.col("sentences") / w * 10, F.col("copulas") / w * 10, F.col("years") / w * 10, F.col("steps") / w * 10, F.col("alpha_ratio"))
-    neg = F.array("f_boilerplate", "f_transaction", "f_templates", "f_enthusiasm", "f_shouting")
-    t = t.withColumn("pos", pos).withColumn("neg", neg)
-    t = t.withColumn("strength", P.baseline(F.col("pos"))).withColumn("noise", P.baseline(F.col("neg")))
-    t = t.withColumn("utility", P.saturate(F.col("strength"), F.col("pos")) * (1 - P.saturate(F.col("noise"), F.col("neg"))))
-    t = t.withColumn("uncertainty", P.spread(F.concat("pos", "neg")) * 0.5).withColumn("threshold", P.baseline(F.col("pos")) * (1 - P.baseline(F.col("neg"))) * 0.5)
-    return t.select("doc_id", *[F.round(F.col(k), R).alias(k) for k in ("strength", "noise", "utility", "uncertainty", "threshold")], F.round(P.margin(F.col("utility"), F.col("threshold"), F.col("uncertainty")), R).alias("margin"))
-
-
-def layout_vectors(spark, d):
-    """O-079, O-080, O-095: layout of code documents: comment share, bracket balance, repeated lines."""
-    t = _doc(spark, d).where("source like '%code%'")
-    ls = T.lines(F.col("text"))
-    n = F.size(ls)
-    comments = F.size(F.filter(ls, lambda x: x.rlike(r"^(?:#|//|/\*|\*)")))
-    balance = F.abs(X.count(F.col("text"), r"[({\[]") - X.count(F.col("text"), r"[)}\]]"))
-    return t.where(n > 0).select("doc_id", F.round(comments / n, R).alias("comment_ratio"), balance.alias("imbalance"), F.round(X.line_repetition(F.col("text")), R).alias("repeated_lines"))
-
-
 def html_fallback_clean(spark, d):
     """O-046, O-048, O-051, O-052: markup of pages removed by rules; what remains."""
     t = table(spark, d, "cleaning_golden").select("id", "text").dropDuplicates(["id"]).where("text is not null")
@@ -126,7 +87,7 @@ def html_fallback_clean(spark, d):
     return t.select("id", c.rlike(r"<[a-zA-Z!/]").alias("looks_like_html"), X.count(c, X.TAG).cast("bigint").alias("tags"), F.sha2(strip_markup(c), 256).alias("digest"), F.length(strip_markup(c)).alias("chars"))
 
 
-QUERIES = {f.__name__: f for f in (raw_line_features, quality_signals_core, content_filter_scores, keyword_stuffing, script_profile, domain_assignment, stage0_reject_reasons, truncation_signals, evidence_channels, layout_vectors, html_fallback_clean)}
+QUERIES = {f.__name__: f for f in (raw_line_features, keyword_stuffing, script_profile, domain_assignment, stage0_reject_reasons, truncation_signals, html_fallback_clean)}
 
 # --- SQL --------------------------------------------------------------------
 LINES = r"list_filter(list_transform(regexp_split_to_array(text, '\r\n|\r|\n'), lambda x: trim(x)), lambda x: x <> '')"
@@ -183,9 +144,6 @@ def _base(a: str) -> str:
 _CODE = f"len(list_filter({LINES}, lambda x: regexp_matches(x, '{X.CODE_LINE}')))"
 ORACLE = {
     "raw_line_features": f"SELECT doc_id, {', '.join(f'round({v}, 6) AS {k}' for k, v in _RAWS.items())} FROM {_RAW}",
-    "quality_signals_core": rf"""WITH c AS (SELECT doc_id, ch, count(*) AS k FROM (SELECT doc_id, unnest(string_split(text, '')) AS ch FROM documents WHERE length(text) > 0) WHERE ch <> '' GROUP BY 1, 2), e AS (SELECT doc_id, -sum(k / s * log2(k / s)) AS h FROM (SELECT doc_id, k, CAST(sum(k) OVER (PARTITION BY doc_id) AS DOUBLE) AS s FROM c) GROUP BY 1)
-SELECT r.doc_id, round(abs(e.h), 6) AS char_entropy, round({_q("CAST(len(list_distinct(lw)) AS DOUBLE)", "CAST(len(lw) AS DOUBLE)")}, 6) AS word_diversity, round(CASE WHEN lines > 0 THEN (lines - len(list_distinct(ls))) / lines ELSE 0 END, 6) AS line_repetition, round({_n(r'\p{L}')} / n, 6) AS alpha_ratio FROM {_FROM} r JOIN e ON r.doc_id = e.doc_id""",
-    "content_filter_scores": f"SELECT doc_id, {', '.join(f'round({v}, 6) AS {k}' for k, v in _FILTERS.items())} FROM {_FROM}",
     "keyword_stuffing": f"SELECT doc_id, top, CAST(words AS BIGINT) AS words, top / words > 0.08 AS stuffed FROM (SELECT doc_id, max(n) AS top, sum(n) AS words FROM (SELECT doc_id, w, count(*) AS n FROM (SELECT doc_id, unnest({WORDS.format(c='lower(text)')}) AS w FROM documents WHERE text IS NOT NULL) GROUP BY 1, 2) GROUP BY 1) WHERE words >= 40",
     "script_profile": "WITH t AS (SELECT DISTINCT id, text FROM redteam_multilingual WHERE text IS NOT NULL), n AS (SELECT id, " + ", ".join(f"CAST(len(regexp_extract_all(text, '{p}')) AS DOUBLE) AS {k}" for k, p in {"latin": r"\p{Latin}", "cyrillic": r"\p{Cyrillic}", "devanagari": r"\p{Devanagari}", "arabic": r"\p{Arabic}", "han": r"\p{Han}", "kana": r"[\p{Hiragana}\p{Katakana}]"}.items()) + " FROM t), a AS (SELECT *, latin+cyrillic+devanagari+arabic+han+kana AS s FROM n), b AS (SELECT *, " + " + ".join(f"CASE WHEN s > 0 AND {k} / s >= 0.05 THEN 1 ELSE 0 END" for k in ("latin", "cyrillic", "devanagari", "arabic", "han", "kana")) + " AS k FROM a) SELECT id, latin, cyrillic, devanagari, arabic, han, kana, CAST(k AS DOUBLE) AS active, CASE WHEN k > 1 THEN CAST(0.28 * (k - 1) AS DOUBLE) ELSE 0.0 END AS mixed FROM b",
     "domain_assignment": f"SELECT coalesce(CASE WHEN starts_with(source,'open-web') THEN 'web' WHEN source LIKE '%-wiki' OR source LIKE '%-wiki-%' THEN 'wiki' WHEN source LIKE '%code%' THEN 'code' WHEN source LIKE '%news%' THEN 'news' WHEN source LIKE '%forum%' OR source LIKE '%answers%' THEN 'qa' WHEN source LIKE '%docs%' OR source LIKE '%handbook%' THEN 'docs' END, CASE WHEN code >= 3 OR contains(text, '```') THEN 'code' WHEN {_n(chr(92) + '?')} >= 3 THEN 'qa' WHEN regexp_matches(text, '(?m)^#{{1,6}} \\S') THEN 'docs' ELSE 'web' END) AS assigned, CASE WHEN code >= 10 THEN 'code' WHEN code >= 3 THEN 'mixed' ELSE 'text' END AS content_type, count(*) AS documents FROM (SELECT source, text, {_CODE} AS code FROM documents WHERE text IS NOT NULL) GROUP BY 1, 2",
@@ -194,10 +152,4 @@ WHEN len(ls) >= 5 AND len(list_filter(ls, lambda x: length(x) < 40 AND NOT regex
 WHEN regexp_matches(text, '(?i)^[\s\x0b]*(?:404|500) |not found|access denied|internal error') THEN 'error_page' WHEN regexp_matches(text, '(?i)lorem ipsum|\{{\{{[^}}]*\}}\}}') THEN 'template_page' WHEN regexp_matches(text, '(?i)sign in again|log in to continue') THEN 'login_page' ELSE 'ok' END AS reason
 FROM (SELECT id, text, {LINES} AS ls FROM (SELECT DISTINCT id, text FROM cleaning_golden))) GROUP BY 1""",
     "truncation_signals": r"""SELECT doc_id, round(p, 6) AS truncation, CASE WHEN p < 0.30 THEN 'none' WHEN p < 0.72 THEN 'slight' ELSE 'heavy' END AS severity FROM (SELECT doc_id, CASE WHEN regexp_matches(tail, '(?i)\[(?:truncated|cut|continued)\]$|read more$') THEN 0.92 ELSE 0.55 * greatest(base, 0.1) + 0.45 * base END AS p FROM (SELECT *, CAST(CASE WHEN regexp_matches(tail, '(?:\.\.\.|…)$') THEN 0.5 WHEN regexp_matches(tail, '[,;:(\-]$') THEN 0.6 WHEN regexp_matches(tail, '[.!?"'')\]]$') THEN 0.0 ELSE 0.3 END AS DOUBLE) AS base FROM (SELECT doc_id, trim(regexp_replace(text, '[\s\x0b\p{Z}\x{85}]+', ' ', 'g')) AS tail FROM documents WHERE text IS NOT NULL)))""",
-    "evidence_channels": f"""WITH x AS (SELECT doc_id, greatest(words, 1) AS w, {', '.join(f'{_RAWS[k]} AS r_{k}' for k in ('sentences', 'copulas', 'years', 'steps', 'alpha_ratio'))}, {', '.join(f'{_FILTERS[k]} AS f_{k}' for k in ('boilerplate', 'transaction', 'templates', 'enthusiasm', 'shouting'))} FROM {_FROM} WHERE length(text) > 0),
-a AS (SELECT doc_id, [CAST(r_sentences / w * 10 AS DOUBLE), r_copulas / w * 10, r_years / w * 10, r_steps / w * 10, r_alpha_ratio] AS pos, [CAST(f_boilerplate AS DOUBLE), f_transaction, f_templates, f_enthusiasm, f_shouting] AS neg FROM x),
-b AS (SELECT *, {_base('pos')} AS strength, {_base('neg')} AS noise, list_concat(pos, neg) AS al FROM a),
-c AS (SELECT *, ({_sat('strength', 'pos')}) * (1 - ({_sat('noise', 'neg')})) AS utility, 0.5 * CASE WHEN list_max(al) <> list_min(al) THEN list_max(al) - list_min(al) ELSE list_avg(al) END AS uncertainty, strength * (1 - noise) * 0.5 AS threshold FROM b)
-SELECT doc_id, round(strength, 6) AS strength, round(noise, 6) AS noise, round(utility, 6) AS utility, round(uncertainty, 6) AS uncertainty, round(threshold, 6) AS threshold, round(utility - threshold * (1 - uncertainty), 6) AS margin FROM c""",
-    "layout_vectors": rf"SELECT doc_id, round(len(list_filter(ls, lambda x: regexp_matches(x, '^(?:#|//|/\*|\*)'))) / lines, 6) AS comment_ratio, abs({_n('[({' + chr(92) + '[]')} - {_n('[)}' + chr(92) + ']]')}) AS imbalance, round((lines - len(list_distinct(ls))) / lines, 6) AS repeated_lines FROM {_RAW} WHERE source LIKE '%code%' AND lines > 0",
 }

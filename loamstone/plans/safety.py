@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from loamstone.functions import safety as S
 from loamstone.functions.features import count
-from loamstone.sources.tables import spread, table
+from loamstone.sources.tables import table
 
 
 def _qa(spark, d):
@@ -60,24 +60,6 @@ def spam_repeats(spark, d):
     return n.where("top >= 5 and top * 4 > words").select("id", "top", "words")
 
 
-def _assessed(spark, d, text):
-    """Documents by source, licence named in the given part of the text and the decision that follows."""
-    t = spread(table(spark, d, "documents").where("text is not null").select("source", "text"))
-    lic = S.licence(text)
-    dec = F.when(lic == "proprietary", "FLAG").when(lic == "gpl", "FLAG").when(lic == "unknown", "KEEP").otherwise("KEEP")
-    return t.groupBy("source", lic.alias("licence"), dec.alias("decision")).agg(F.count("*").alias("documents"))
-
-
-def license_assessment(spark, d):
-    """O-174, O-175, O-184, O-185, O-190: licence named in the first 12,000 characters, as the reference reads them, and the decision that follows, by source."""
-    return _assessed(spark, d, F.substring("text", 1, 12000))
-
-
-def license_assessment_all(spark, d):
-    """O-174, O-184, O-185, O-190: as `license_assessment` over whole texts."""
-    return _assessed(spark, d, F.col("text"))
-
-
 def url_hosts(spark, d):
     """O-176 to O-179, O-182: hosts that texts link to, with suffix and kind, and the documents that do."""
     u = table(spark, d, "documents").where("text is not null").select("doc_id", F.explode(F.regexp_extract_all("text", F.lit(r"https?://([A-Za-z0-9.-]+)"), F.lit(1))).alias("h"))
@@ -95,20 +77,18 @@ def provenance_records(spark, d):
     return x.select("doc_id", "source", "day", F.coalesce("indexed", F.lit(False)).alias("indexed"), F.coalesce("observations", F.lit(0)).alias("observations"))
 
 
-QUERIES = {f.__name__: f for f in (pii_entity_counts, pii_bands, pii_redact, pii_run_totals, toxicity_scores, spam_repeats, license_assessment, license_assessment_all, url_hosts, provenance_records)}
+QUERIES = {f.__name__: f for f in (pii_entity_counts, pii_bands, pii_redact, pii_run_totals, toxicity_scores, spam_repeats, url_hosts, provenance_records)}
 
 _E = lambda p, c="text": f"CAST(len(regexp_extract_all({c}, '{p}')) AS DOUBLE)"
 _CNT = f"(SELECT id, lang, {_E(S.EMAIL)} - least({_E(S.EMAIL)}, {_E(S.TEMPLATE_EMAIL)}) AS emails, {_E(S.PHONE)} AS phones, {_E(S.CARD)} AS cards, {_E(S.SECRET)} AS secrets, regexp_matches(text, '{S.EDUCATION}') AS benign FROM (SELECT DISTINCT ON (id, text) id, lang, text FROM redteam_qa WHERE text IS NOT NULL))"
 _RED = "regexp_replace(regexp_replace(regexp_replace(regexp_replace(text, '{}', '<SECRET>', 'g'), '{}', '<CARD>', 'g'), '{}', '<EMAIL>', 'g'), '{}', '<PHONE>', 'g')".format(S.SECRET, S.CARD, S.EMAIL, S.PHONE)
-_LIC = "CASE " + " ".join(f"WHEN regexp_matches(substr(text, 1, 12000), '{p}') THEN '{n}'" for n, p in S.LICENCES) + " ELSE 'unknown' END"
+_LIC = "CASE " + " ".join(f"WHEN regexp_matches(text, '{p}') THEN '{n}'" for n, p in S.LICENCES) + " ELSE 'unknown' END"
 ORACLE = {
     "pii_entity_counts": f"SELECT * FROM {_CNT}",
     "pii_bands": f"SELECT lang, CASE WHEN risk <= 0.20 THEN 'accept' WHEN risk < 0.60 THEN 'redact' WHEN risk < 0.95 THEN 'reject' ELSE 'hard_reject' END AS band, count(*) AS records, round(avg(risk), 6) AS mean_risk FROM (SELECT lang, CASE WHEN benign THEN 0.5 ELSE 1.0 END * CASE WHEN n > 0 THEN least(1, best * 0.85 + 0.05 * least(n, 8)) ELSE 0 END AS risk FROM (SELECT *, emails + phones + cards + secrets AS n, CAST(greatest(CASE WHEN emails > 0 THEN 0.6 ELSE 0 END, CASE WHEN phones > 0 THEN 0.55 ELSE 0 END, CASE WHEN cards > 0 THEN 0.9 ELSE 0 END, CASE WHEN secrets > 0 THEN 0.95 ELSE 0 END) AS DOUBLE) AS best FROM {_CNT})) GROUP BY 1, 2",
     "pii_redact": f"SELECT id, sha256({_RED}) AS digest, length({_RED}) AS chars FROM (SELECT DISTINCT id, text FROM redteam_qa WHERE text IS NOT NULL)",
     "toxicity_scores": f"SELECT band, count(*) AS records, round(sum(score), 6) AS score FROM (SELECT score, CASE WHEN score < 0.25 THEN 'accept' WHEN score < 0.45 THEN 'review' WHEN score < 0.8 THEN 'reject' ELSE 'hard_reject' END AS band FROM (SELECT least(1, CASE WHEN regexp_matches(text, '{S.EDUCATION}') THEN 0.5 ELSE 1.0 END * greatest(CASE WHEN a > 0 THEN 0.5 + 0.04 * (a - 1) ELSE 0 END, CASE WHEN b > 0 THEN 0.9 + 0.04 * (b - 1) ELSE 0 END, CASE WHEN c > 0 THEN 0.3 + 0.04 * (c - 1) ELSE 0 END)) AS score FROM (SELECT text, {_E(S.INSULT)} AS a, {_E(S.THREAT)} AS b, {_E(S.PROFANITY)} AS c FROM (SELECT DISTINCT id, text FROM redteam_adversarial WHERE text IS NOT NULL)))) GROUP BY 1",
     "spam_repeats": r"SELECT id, top, CAST(words AS BIGINT) AS words FROM (SELECT id, max(n) AS top, sum(n) AS words FROM (SELECT id, w, count(*) AS n FROM (SELECT id, unnest(regexp_extract_all(lower(text), '\p{L}{3,}')) AS w FROM (SELECT DISTINCT id, text FROM redteam_adversarial WHERE text IS NOT NULL)) GROUP BY 1, 2) GROUP BY 1) WHERE top >= 5 AND top * 4 > words",
-    "license_assessment": f"SELECT source, licence, CASE WHEN licence IN ('proprietary', 'gpl') THEN 'FLAG' ELSE 'KEEP' END AS decision, count(*) AS documents FROM (SELECT source, {_LIC} AS licence FROM documents WHERE text IS NOT NULL) GROUP BY 1, 2, 3",
-    "license_assessment_all": f"SELECT source, licence, CASE WHEN licence IN ('proprietary', 'gpl') THEN 'FLAG' ELSE 'KEEP' END AS decision, count(*) AS documents FROM (SELECT source, {_LIC.replace('substr(text, 1, 12000)', 'text')} AS licence FROM documents WHERE text IS NOT NULL) GROUP BY 1, 2, 3",
     "url_hosts": r"SELECT regexp_extract(host, '\.([a-z]+)$', 1) AS suffix, CASE WHEN regexp_matches(host, '\.gov(?:\.|$)') THEN 'government' WHEN regexp_matches(host, '^(?:github|gitlab)\.') THEN 'repository' ELSE 'web' END AS kind, count(DISTINCT host) AS hosts, count(DISTINCT doc_id) AS documents FROM (SELECT doc_id, regexp_replace(lower(h), '^www\.', '') AS host FROM (SELECT doc_id, unnest(regexp_extract_all(text, 'https?://([A-Za-z0-9.-]+)', 1)) AS h FROM documents WHERE text IS NOT NULL)) WHERE host <> '' GROUP BY 1, 2",
     "provenance_records": "SELECT d.doc_id, d.source, CAST(CAST(ingested_at AS DATE) AS VARCHAR) AS day, h.hash IS NOT NULL AS indexed, coalesce(r.observations, 0) AS observations FROM documents d LEFT JOIN (SELECT DISTINCT hash FROM content_hashes) h ON d.content_hash = h.hash LEFT JOIN (SELECT content_hash, CAST(sum(observation_count) AS BIGINT) AS observations FROM corpus_doc_registry WHERE content_hash <> '' GROUP BY 1) r ON d.content_hash = r.content_hash",
 }

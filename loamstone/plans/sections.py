@@ -14,7 +14,7 @@ from loamstone.sources.tables import spread, table
 REFERENCES = r"(?is)\n(?:#+ )?(?:references|external links|see also|bibliography)\n.*$"
 WRAPPER = r"(?i)^(?:instruction|response|question|answer|step \d+|thought|q|a) ?:"
 ABBREVIATION = r"(?:Dr|Prof|Mr|Mrs|Ms|St|No|vs|etc)\.$"
-SECRET_TOKEN = r"\b[A-Za-z0-9+/_-]{24,512}\b"
+SECRET_TOKEN = r"\b[A-Za-z0-9+/_-]{24,}\b"
 
 
 def _docs(spark, d):
@@ -108,5 +108,5 @@ ORACLE = {
     "statistical_boilerplate": "SELECT id, round(0.3 * (len(ls) - len(list_distinct(ls))) / len(ls) + " + " + ".join(f"{w} * len(list_filter(ls, lambda x: regexp_matches(x, '{p}'))) / len(ls)" for w, p in ((0.25, r"[|»›>/·•]"), (0.25, r"^[^.!?]{1,40}$"), (0.1, X.URL), (0.1, "(?i)cookie|rights reserved|subscribe"))) + f", 6) AS score FROM (SELECT id, {LINES} AS ls FROM (SELECT DISTINCT id, text FROM cleaning_golden WHERE text IS NOT NULL)) WHERE len(ls) > 0",
     "section_thresholds": rf"WITH b AS (SELECT unnest({_PAR}) AS p FROM {_B}), w AS (SELECT p, {WORDS.format(c='lower(p)')} AS w FROM b WHERE length(p) > 0), x AS (SELECT round(0.5 * CASE WHEN len(w) > 0 THEN len(list_distinct(w)) / len(w) ELSE 0 END + 0.5 * least(1, length(p) / 800.0), 6) AS u, round({_n('[^' + chr(92) + 'p{L}' + chr(92) + 'p{N}' + chr(92) + 's' + chr(92) + 'x0b]', 'p')} / length(p), 6) AS z FROM w), q AS (SELECT quantile_cont(u, 0.22) AS low, quantile_cont(u, 0.38) AS mid, quantile_cont(z, 0.72) AS noise FROM x) SELECT CASE WHEN u < low AND z > noise THEN 'REMOVE' WHEN u < low THEN 'DOWNWEIGHT' WHEN u < mid THEN 'KEEP_AFTER_CLEANING' ELSE 'KEEP' END AS route, count(*) AS blocks, round(avg(u), 5) AS utility FROM x, q GROUP BY 1",
     "topic_boundaries": rf"WITH b AS (SELECT doc_id, unnest({_PAR}) AS p, generate_subscripts({_PAR}, 1) AS k FROM {_B}), w AS (SELECT doc_id, k, list_distinct(regexp_extract_all(lower(p), '\p{{L}}{{4,}}')) AS w FROM b), f AS (SELECT * FROM w WHERE len(w) >= 8), x AS (SELECT doc_id, w, lag(w) OVER (PARTITION BY doc_id ORDER BY k) AS pr FROM f), j AS (SELECT doc_id, len(list_intersect(w, pr)) / (len(w) + len(pr) - len(list_intersect(w, pr))) AS j FROM x WHERE pr IS NOT NULL) SELECT doc_id, count(*) AS joints, CAST(sum(CASE WHEN j < 0.1 THEN 1 ELSE 0 END) AS BIGINT) AS boundaries, round(min(j), 6) AS least FROM j GROUP BY 1",
-    "licence_candidates": f"SELECT source, licence, n AS documents FROM (SELECT source, licence, count(*) AS n FROM (SELECT source, {_LIC.replace('substr(text, 1, 12000)', 'text')} AS licence FROM {_B}) WHERE licence <> 'unknown' GROUP BY 1, 2) QUALIFY row_number() OVER (PARTITION BY source ORDER BY (licence <> 'proprietary') DESC, n DESC, licence DESC) = 1",
+    "licence_candidates": f"SELECT source, licence, n AS documents FROM (SELECT source, licence, count(*) AS n FROM (SELECT source, {_LIC} AS licence FROM {_B}) WHERE licence <> 'unknown' GROUP BY 1, 2) QUALIFY row_number() OVER (PARTITION BY source ORDER BY (licence <> 'proprietary') DESC, n DESC, licence DESC) = 1",
 }

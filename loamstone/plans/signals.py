@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from loamstone.functions import features as X
 from loamstone.functions import peers as P
 from loamstone.functions import text as T
 from loamstone.functions.tokens import encoded
@@ -33,43 +32,6 @@ def sentence_rhythm(spark, d):
     return t.select("doc_id", F.size("n").alias("sentences"), F.round(P.clip(F.sqrt(F.greatest(var, F.lit(0.0))) / m / 1.2), 5).alias("burstiness"))
 
 
-def noise_scores(spark, d):
-    """O-044, O-074 to O-078: replacement signs, one-letter tokens, bars and mixed case of documents."""
-    t = _docs(spark, d).select("doc_id", "text", T.words(F.col("text")).alias("w")).where(F.size("w") > 0)
-    k = F.size("w").cast("double")
-    of = lambda p: F.size(F.filter("w", lambda x: x.rlike(p))) / k
-    return t.select("doc_id", F.round(X.count(F.col("text"), r"[\x{FFFD}]") / F.length("text"), 6).alias("replaced"), F.round(of(r"^\p{L}$"), 6).alias("single"), F.round(of(r"\|"), 6).alias("bars"), F.round(of(r"^[a-z]+[A-Z]"), 6).alias("mixed_case"), F.round(of(r"^[^\p{L}\p{N}]+$"), 6).alias("signs_only"))
-
-
-def claim_risk(spark, d):
-    """O-072, O-073, O-094: bare claims against anchors of fact, piracy words, share of padding."""
-    c = F.col("text")
-    t = _docs(spark, d)
-    words = F.greatest(F.size(T.words(c)).cast("double"), F.lit(1.0))
-    claims, anchors = X.count(c, CLAIM), X.count(c, ANCHOR)
-    return t.select("doc_id", F.round(P.clip(claims / (claims + anchors + 1)), 6).alias("risk"), F.round(P.clip(X.count(c, PIRACY) / words * 50), 6).alias("piracy"), F.round(P.clip(X.count(c, FILLER) * 4 / words), 6).alias("padding"))
-
-
-def code_signals(spark, d):
-    """O-079 to O-083, O-096: generated banners, vendor calls, repeated lines and dump class of code-like documents."""
-    c = F.col("text")
-    ls = T.lines(c)
-    t = _docs(spark, d).select("doc_id", "text", ls.alias("ls")).where(F.size("ls") > 0)
-    code = F.size(F.filter("ls", lambda x: x.rlike(X.CODE_LINE))) / F.size("ls")
-    cls = F.when(code < 0.1, "prose").when(code < 0.5, "mixed").otherwise("raw_dump")
-    return t.groupBy(cls.alias("class")).agg(F.count("*").alias("documents"), F.sum(X.count(c, GENERATED)).alias("banners"), F.sum(X.count(c, SDK)).alias("vendor_calls"), F.round(F.avg((F.size("ls") - F.size(F.array_distinct("ls"))) / F.size("ls")), 6).alias("repeated"))
-
-
-def document_grades(spark, d):
-    """O-089, O-090, O-098 to O-101, O-109 to O-112, O-199: composite of density, diversity and noise as a grade by source."""
-    c = F.col("text")
-    t = _docs(spark, d)
-    n = F.length(c)
-    q = 100 * (0.5 * X.word_diversity(c) + 0.3 * P.clip(n / 3000.0) + 0.2 * X.count(c, r"\p{L}") / n)
-    g = F.when(q >= 75, "A").when(q >= 60, "B").when(q >= 45, "C").when(q >= 30, "D").otherwise("E")
-    return t.groupBy("source", g.alias("grade")).agg(F.count("*").alias("documents"), F.round(F.avg(q), 4).alias("quality"))
-
-
 def heading_repeats(spark, d):
     """O-042, O-236: headings of a document and those that repeat an earlier one."""
     h = F.filter(F.split("text", "\n"), lambda x: x.rlike(r"^(?:#{1,6} |== )"))
@@ -123,7 +85,7 @@ def page_metadata(spark, d):
     return t.where((by != "") | (year != "")).groupBy(by.alias("byline"), year.alias("year")).agg(F.count("*").alias("documents"))
 
 
-QUERIES = {f.__name__: f for f in (sentence_rhythm, noise_scores, claim_risk, code_signals, document_grades, heading_repeats, metadata_only, tokenizer_efficiency, quota_moves, chunk_validation, page_metadata)}
+QUERIES = {f.__name__: f for f in (sentence_rhythm, heading_repeats, metadata_only, tokenizer_efficiency, quota_moves, chunk_validation, page_metadata)}
 
 from loamstone.plans.features import LINES, WORDS, _n  # noqa: E402
 
@@ -132,10 +94,6 @@ _W = WORDS.format(c="text")
 _C = lambda e: f"greatest(0, least(1, {e}))"
 ORACLE = {
     "sentence_rhythm": rf"SELECT doc_id, CAST(len(n) AS INTEGER) AS sentences, round({_C('sqrt(greatest(list_avg(list_transform(n, lambda x: x * x)) - list_avg(n) * list_avg(n), 0)) / list_avg(n) / 1.2')}, 5) AS burstiness FROM (SELECT doc_id, list_transform(list_filter(regexp_split_to_array(text, '[.!?]+(?:[ \n\t]+|$)'), lambda x: trim(x) <> ''), lambda x: CAST(length(x) AS DOUBLE)) AS n FROM {_B}) WHERE len(n) >= 3",
-    "noise_scores": "SELECT doc_id, round(" + _n(r"[\x{FFFD}]") + " / length(text), 6) AS replaced, " + ", ".join(f"round(len(list_filter(w, lambda x: regexp_matches(x, '{p}'))) / len(w), 6) AS {k}" for k, p in (("single", r"^\p{L}$"), ("bars", r"\|"), ("mixed_case", "^[a-z]+[A-Z]"), ("signs_only", r"^[^\p{L}\p{N}]+$"))) + f" FROM (SELECT doc_id, text, {_W} AS w FROM {_B}) WHERE len(w) > 0",
-    "claim_risk": f"SELECT doc_id, round({_C('c / (c + a + 1)')}, 6) AS risk, round({_C('p / w * 50')}, 6) AS piracy, round({_C('f * 4 / w')}, 6) AS padding FROM (SELECT doc_id, {_n(CLAIM)} AS c, {_n(ANCHOR)} AS a, {_n(PIRACY)} AS p, {_n(FILLER)} AS f, greatest(len({_W}), 1) AS w FROM {_B})",
-    "code_signals": f"SELECT class, count(*) AS documents, sum(b) AS banners, sum(v) AS vendor_calls, round(avg((len(ls) - len(list_distinct(ls))) / len(ls)), 6) AS repeated FROM (SELECT ls, b, v, CASE WHEN r < 0.1 THEN 'prose' WHEN r < 0.5 THEN 'mixed' ELSE 'raw_dump' END AS class FROM (SELECT ls, {_n(GENERATED)} AS b, {_n(SDK)} AS v, len(list_filter(ls, lambda x: regexp_matches(x, '{X.CODE_LINE}'))) / len(ls) AS r FROM (SELECT text, {LINES} AS ls FROM {_B}) WHERE len(ls) > 0)) GROUP BY 1",
-    "document_grades": rf"SELECT source, CASE WHEN q >= 75 THEN 'A' WHEN q >= 60 THEN 'B' WHEN q >= 45 THEN 'C' WHEN q >= 30 THEN 'D' ELSE 'E' END AS grade, count(*) AS documents, round(avg(q), 4) AS quality FROM (SELECT source, 100 * (0.5 * CASE WHEN len(w) > 0 THEN len(list_distinct(w)) / len(w) ELSE 0 END + 0.3 * least(1, length(text) / 3000.0) + 0.2 * {_n(chr(92) + 'p{L}')} / length(text)) AS q FROM (SELECT source, text, {WORDS.format(c='lower(text)')} AS w FROM {_B})) GROUP BY 1, 2",
     "heading_repeats": f"SELECT doc_id, CAST(len(h) AS INTEGER) AS headings, CAST(len(h) - len(list_distinct(h)) AS INTEGER) AS repeated FROM (SELECT doc_id, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '^(?:#{{1,6}} |== )')) AS h FROM {_B}) WHERE len(h) > 0",
     "metadata_only": f"SELECT id, round(s, 6) AS share, s >= 0.5 AND len(ls) >= 2 AS metadata_only FROM (SELECT id, ls, len(list_filter(ls, lambda x: regexp_matches(x, '{META_LINE}'))) / len(ls) AS s FROM (SELECT id, {LINES} AS ls FROM (SELECT DISTINCT id, text FROM cleaning_golden WHERE text IS NOT NULL)) WHERE len(ls) > 0)",
     "quota_moves": "WITH t AS (SELECT lang, count(*) AS n FROM documents WHERE lang IS NOT NULL GROUP BY 1), x AS (SELECT lang, n / (SELECT sum(n) FROM t) AS o, 1 / (SELECT count(*) FROM t) AS g FROM t) SELECT lang, round(o, 6) AS observed, round(greatest(0.01, g * greatest(1, least(50, g / o))), 6) AS weight, round(1 + greatest(0, g - o) * 2, 6) AS boost FROM x",

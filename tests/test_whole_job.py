@@ -3,7 +3,7 @@
 import random
 
 from loamstone.operators import similarity
-from loamstone.plans import cleaning, mixture, pipeline, safety
+from loamstone.plans import cleaning, mixture, pipeline, rights
 
 SCHEMA = "doc_id long, lang string, source string, domain string, text string"
 
@@ -14,18 +14,19 @@ def folder(spark, path, **tables):
     return str(path)
 
 
-def test_cleaned_corpus(spark, tmp_path):
+def test_curation_pipeline(spark, tmp_path):
     rng = random.Random(4)
     base = [" ".join(rng.choice("stone gate river keeper morning water bridge lamp orchard mill".split()) + rng.choice("abcdefgh") for _ in range(90)) + "." for _ in range(4)]
     near = base[1].replace(".", " now.")
     rows = [
-        (1, "en", "s", None, "Home\n" + base[0] + "\n\n" + base[0] + "\nBack to top"), (2, "en", "s", None, base[0]), (3, "en", "s", None, base[1]), (4, "en", "s", None, near),
-        (5, "en", "s", None, base[2] + "\nAll rights reserved."), (6, "en", "s", None, base[2]), (7, "en", "s", None, None), (8, "en", "s", "code", base[3] + "\nHome\n" + base[3]),
+        (1, "en", "s", None, "Menu\n" + base[0] + "\n\n" + base[0] + "\nShare"), (2, "en", "s", None, base[0]), (3, "en", "s", None, base[1]), (4, "en", "s", None, near),
+        (5, "en", "s", None, base[2] + "\nno part of this book may be reproduced"), (6, "en", "s", None, base[2]), (7, "en", "s", None, None), (8, "en", "s", "code", "```\n" + base[3] + "\nMenu\n```"), (9, None, None, None, " \n "),
     ]
     d = folder(spark, tmp_path, documents=(rows, SCHEMA))
-    got = {r["doc_id"]: (r["reject_reason"], r["chars"]) for r in pipeline.cleaned_corpus(spark, d).collect()}
-    assert {k: v[0] for k, v in got.items()} == {1: None, 2: "exact_dup", 3: None, 4: "near_dup", 5: "proprietary", 6: None, 7: "empty_text", 8: None}
+    got = {r["doc_id"]: (r["reject_reason"], r["chars"]) for r in pipeline.curation_pipeline(spark, d, decide=False).collect()}
+    assert {k: v[0] for k, v in got.items()} == {1: None, 2: "exact_dup", 3: None, 4: "near_dup", 5: "redistribution_prohibited", 6: None, 7: "empty_text", 8: None, 9: "empty_text"}
     assert got[1][1] == len(base[0]) and got[8][1] == len(rows[7][4])
+    assert pipeline.curation_pipeline(spark, d).count() == len(rows)
 
 
 def test_simhash_pairs_against_brute_force(spark):
@@ -71,7 +72,7 @@ def test_safe_trim_of_cut_samples(spark, tmp_path):
 
 
 def test_licence_after_a_long_text(spark, tmp_path):
-    rows = [(1, "en", "s", None, "plain words " * 1100 + "under the MIT License"), (2, "en", "s", None, "GPL here"), (3, "en", "s", None, None)]
+    rows = [(1, "en", "s", None, "plain words " * 1100 + "licensed under the MIT License"), (2, "en", "s", None, "GPL here"), (3, "en", "s", None, None)]
     d = folder(spark, tmp_path, documents=(rows, SCHEMA))
-    got = {(r["licence"], r["decision"], r["documents"]) for r in safety.license_assessment_all(spark, d).collect()}
-    assert got == {("mit", "KEEP", 1), ("gpl", "FLAG", 1)}
+    got = {(r["doc_id"], r["licence"], r["rights_action"]) for r in rights.licence_decisions(spark, d).collect()}
+    assert got == {(1, "MIT", "KEEP"), (2, "Unknown", "FLAG")}
