@@ -7,6 +7,7 @@ from pyspark.sql.window import Window
 
 from loamstone.functions import text as T
 from loamstone.operators import formatters as R
+from loamstone.functions.sheet import Sheet
 from loamstone.sources.tables import table
 
 #: Lines that clean-up drops, as Java and RE2 read alike.
@@ -69,20 +70,27 @@ def fragment_statistics(spark, d):
     return x.select(F.substring(F.sha2("f", 256), 1, 24).alias("key"), "doc_frequency", "line_frequency", "mean_first_line")
 
 
+_Z = 1.96
+#: Frequency by its Wilson bound, place by the entropy of the histogram, shape by the layouts that share it, novelty by information.
+PROMOTED = Sheet([
+    {"p": "doc_frequency / n", "parts": lambda d: d.map(d.all("coalesce(position_histogram, '')", "[0-9]+(?:[.][0-9]+)?"), "CAST(x AS DOUBLE)"), "bits": lambda d: d.entropy("coalesce(text_sample, '')"), "per_doc": "greatest(CAST(coalesce(line_frequency, doc_frequency) AS DOUBLE) / greatest(doc_frequency, 1), 1.0)"},
+    {"mass": lambda d: d.sum("parts", "x"), "low": f"(p + {_Z * _Z} / (2 * n) - {_Z} * sqrt(greatest(p * (1 - p) / n + {_Z * _Z} / (4.0 * n * n), 0.0))) / (1 + {_Z * _Z} / n)", "structure": "bucket_n / (bucket_n + bucket_mean)"},
+    {"h": lambda d: f"CASE WHEN mass > 0 THEN {d.sum('parts', 'CASE WHEN x > 0 THEN -(x / mass) * log2(x / mass) ELSE 0.0 END')} / log2(5.0) ELSE 1.0 END", "novelty": "least(1.0, least(1.0, bits / greatest(doc_frequency, 1) / 8.0) * 0.6 + 0.4 / per_doc)"},
+    {"place": "least(1.0, (1.0 - least(1.0, h)) * 0.65 + low * 0.35)"},
+    {"confidence0": "(0.30 * low + 0.25 * place + 0.25 * structure + 0.20 * (1.0 - novelty)) * coalesce(weight, 1.0)"},
+    {"confidence": "CASE WHEN doc_frequency < 2 THEN confidence0 * 0.15 ELSE confidence0 END"},
+])
+_PROMOTED = ["key", "doc_frequency", *[f"round({c} + 1e-9, 6) AS {c}" for c in ("low", "place", "structure", "novelty", "confidence")], "doc_frequency >= 3 AND confidence >= 0.3 AS promoted"]
+
+
 def fragment_promotion(spark, d):
-    """O-361 to O-365: fragments of the index whose Wilson bound, place and weight promote them."""
+    """O-361 to O-365: fragments of the index with their bound, place, shape and novelty, and those that these promote."""
     t = table(spark, d, "fragments").where("key is not null and doc_frequency is not null")
-    total = t.agg(F.greatest(F.max("doc_frequency"), F.lit(1)).cast("double").alias("n"))
-    x = t.crossJoin(F.broadcast(total))
-    p, n, z = F.col("doc_frequency") / F.col("n"), F.col("n"), 1.96
-    low = (p + z * z / (2 * n) - z * F.sqrt(p * (1 - p) / n + z * z / (4 * n * n))) / (1 + z * z / n)
-    hist = F.from_json("position_histogram", "array<double>")
-    s = F.aggregate(hist, F.lit(0.0), lambda a, b: a + b)
-    h = F.aggregate(hist, F.lit(0.0), lambda a, b: a - F.when(b > 0, b / s * F.log2(b / s)).otherwise(0.0)) / F.log2(F.lit(5.0))
-    place = F.when(s > 0, 0.65 * (1 - h) + 0.35 * low).otherwise(0.35 * low)
-    conf = (0.30 * low + 0.25 * place + 0.25 * 0.5 + 0.20 * 0.5) * F.coalesce(F.col("weight"), F.lit(1.0))
-    conf = F.when(F.col("doc_frequency") < 2, conf * 0.15).otherwise(conf)
-    return x.select("key", "doc_frequency", F.round(low, 6).alias("wilson_low"), F.round(place, 6).alias("place"), F.round(conf, 6).alias("confidence"), ((F.col("doc_frequency") >= 3) & (conf >= 0.3)).alias("promoted"))
+    total = t.agg(F.greatest(F.max("doc_frequency"), F.lit(1)).cast("double").alias("n"))  # one row
+    buckets = t.groupBy(F.coalesce("layout_bucket", F.lit("")).alias("bucket")).agg(F.count("*").cast("double").alias("bucket_n"))
+    mean = buckets.agg(F.avg("bucket_n").alias("bucket_mean"))  # one row
+    x = t.withColumn("bucket", F.coalesce("layout_bucket", F.lit(""))).join(buckets, "bucket").crossJoin(F.broadcast(total)).crossJoin(F.broadcast(mean))
+    return PROMOTED.spark(x).selectExpr(*_PROMOTED)
 
 
 def _trimmed(t, hit):
@@ -166,7 +174,16 @@ from loamstone.plans.texts import DEDUP as _D  # noqa: E402
 _Q = "trim(coalesce(instruction,'')) || CASE WHEN trim(coalesce(instruction,'')) <> '' AND trim(coalesce(passage,'')) <> '' THEN chr(10) ELSE '' END || trim(coalesce(passage,''))"
 _F = r"trim(regexp_replace(regexp_replace(regexp_replace(lower({c}), '[\s\x0b\p{{Z}}\x{{85}}]+', ' ', 'g'), '[0-9]', '#', 'g'), '[^\p{{L}}\p{{N}}# ]', '', 'g'))"
 _PAR = r"list_filter(list_transform(regexp_split_to_array(regexp_replace(text, '\r\n?', chr(10), 'g'), '\n[ \t]*\n+'), lambda x: trim(x)), lambda x: x <> '')"
+_H = lambda e: f"substr(sha256({e}), 1, 16)"
+_FT = "(SELECT *, coalesce(layout_bucket, '') AS bucket FROM fragments WHERE key IS NOT NULL AND doc_frequency IS NOT NULL)"
+_FX = f"(SELECT f.*, b.bucket_n, m.bucket_mean, t.n FROM {_FT} f JOIN (SELECT bucket, CAST(count(*) AS DOUBLE) AS bucket_n FROM {_FT} GROUP BY 1) b ON b.bucket = f.bucket CROSS JOIN (SELECT avg(k) AS bucket_mean FROM (SELECT count(*) AS k FROM {_FT} GROUP BY bucket)) m CROSS JOIN (SELECT CAST(greatest(max(doc_frequency), 1) AS DOUBLE) AS n FROM {_FT}) t)"
+_TURN = "list_filter([trim(passage), trim(question)], lambda x: x <> '')"
+_CHAT = "CASE WHEN passage IS NOT NULL THEN '<|user|>' || trim(passage) || '<|/user|>' END, CASE WHEN question IS NOT NULL THEN '<|assistant|>' || trim(question) || '<|/assistant|>' END"
 ORACLE = {
+    "fragment_promotion": f"SELECT {', '.join(_PROMOTED)} FROM {PROMOTED.duck(_FX)}",
+    "formatted_rows": f"""SELECT item_id, {_H("array_to_string(list_filter([CASE WHEN trim(coalesce(instruction, '')) <> '' THEN 'system: ' || trim(instruction) END, CASE WHEN trim(coalesce(passage, '')) <> '' THEN 'user: ' || trim(passage) END], lambda x: x IS NOT NULL), chr(10))")} AS conversation,
+{_H(f"array_to_string({_TURN}, chr(10))")} AS turns, {_H("coalesce(task, 'user') || ': ' || trim(coalesce(passage, ''))")} AS message, {_H("CASE WHEN coalesce(task, '') <> '' THEN '# language: ' || task || chr(10) || trim(coalesce(passage, '')) ELSE trim(coalesce(passage, '')) END")} AS code,
+{_H(f"CASE WHEN coalesce(instruction, '') <> '' THEN '<|system|>' || trim(instruction) || '<|/system|>' || chr(10) ELSE '' END || array_to_string([{_CHAT}], chr(10)) || chr(10) || '<|end|>'")} AS tagged FROM eval_items""",
     "formatted_items": f"SELECT item_id, CASE WHEN q <> '' AND trim(question) <> '' THEN 'Question: ' || q || chr(10) || chr(10) || 'Answer: ' || trim(question) WHEN q <> '' THEN q ELSE trim(coalesce(question,'')) END AS text FROM (SELECT *, {_Q} AS q FROM eval_items)",
     "qa_pairs": r"SELECT id, question, length(a) AS answer_chars FROM (SELECT id, regexp_extract(text, '(?:^|\n)(?:Question|Q): ([^\n]*)', 1) AS question, regexp_extract(text, '(?:^|\n)(?:Answer|A): ([^\n]*)', 1) AS a FROM (SELECT DISTINCT id, text FROM redteam_qa WHERE text IS NOT NULL)) WHERE question <> '' AND a <> ''",
     "cleaned_lines": f"SELECT id, len(ls) AS lines, len(k) AS kept, sha256(array_to_string(k, chr(10))) AS digest FROM (SELECT id, ls, list_filter(ls, lambda x: NOT regexp_matches(trim(x), '{UI_LINE}') AND NOT regexp_matches(x, '{COPY_LINE}') AND NOT regexp_matches(trim(x), '{PROMO}')) AS k FROM (SELECT id, string_split(text, chr(10)) AS ls FROM (SELECT DISTINCT id, text FROM cleaning_golden WHERE text IS NOT NULL)))",

@@ -126,7 +126,10 @@ from loamstone.plans.features import WORDS as _W  # noqa: E402
 from loamstone.plans.texts import DEDUP as _D  # noqa: E402
 
 _AXIS = "SELECT '{a}' AS axis, round(sum(-p * log2(p)) / greatest(log2(count(*)), 1e-9), 6) AS entropy FROM (SELECT n / sum(n) OVER () AS p FROM (SELECT count(*) AS n FROM documents GROUP BY coalesce({a}, 'none')))"
+_LAST = "(SELECT id, char_entropy AS e FROM quality_signals WHERE id IS NOT NULL QUALIFY row_number() OVER (PARTITION BY id ORDER BY coalesce(measured_at, TIMESTAMP '1970-01-01') DESC) = 1)"
 ORACLE = {
+    "percentile_summary": f"SELECT {', '.join(f'(SELECT round(quantile_cont(e, {q / 100}), 6) FROM {_LAST}) AS entropy_p{q}' for q in (10, 50, 90))}, round(avg(a), 6) AS alpha_mean, round(stddev_samp(a), 6) AS alpha_sd FROM {_LAST.replace('char_entropy AS e', 'alpha_ratio AS a')}",
+    "transform_audit": "SELECT category, lang, count(*) AS records, count(actual_output) AS outputs, round(avg(recall), 6) AS recall, round(avg(noise_retention), 6) AS noise FROM (SELECT DISTINCT ON (id) * FROM redteam_qa) GROUP BY 1, 2",
     "length_histogram": "SELECT bucket, documents, round(documents / sum(documents) OVER (), 4) AS share FROM (SELECT CASE WHEN length(text) < 800 THEN '<800' WHEN length(text) < 2400 THEN '<2400' WHEN length(text) < 6000 THEN '<6000' ELSE '>=6000' END AS bucket, count(*) AS documents FROM documents WHERE text IS NOT NULL GROUP BY 1)",
     "corpus_snapshot": f"SELECT count(*) AS documents, count(DISTINCT sha256({_D})) AS distinct_texts, count(DISTINCT source) AS sources, CAST(sum(CASE WHEN lang IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS unlabelled, CAST(sum(CASE WHEN trim(coalesce(text,'')) = '' THEN 1 ELSE 0 END) AS BIGINT) AS blank, CAST(sum(length(text)) AS BIGINT) AS chars, round(avg(length(text)), 4) AS mean_chars FROM documents",
     "diversity_index": " UNION ALL ".join(_AXIS.format(a=a) for a in ("lang", "source", "domain")),

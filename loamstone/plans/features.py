@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from loamstone.functions import features as X
+from loamstone.functions.html import ENTITIES, strip_markup
 from loamstone.functions import text as T
 from loamstone.sources.tables import spread, table
 
@@ -81,8 +82,6 @@ def truncation_signals(spark, d):
 def html_fallback_clean(spark, d):
     """O-046, O-048, O-051, O-052: markup of pages removed by rules; what remains."""
     t = table(spark, d, "cleaning_golden").select("id", "text").dropDuplicates(["id"]).where("text is not null")
-    from loamstone.functions.html import strip_markup
-
     c = F.col("text")
     return t.select("id", c.rlike(r"<[a-zA-Z!/]").alias("looks_like_html"), X.count(c, X.TAG).cast("bigint").alias("tags"), F.sha2(strip_markup(c), 256).alias("digest"), F.length(strip_markup(c)).alias("chars"))
 
@@ -142,7 +141,13 @@ def _base(a: str) -> str:
 
 
 _CODE = f"len(list_filter({LINES}, lambda x: regexp_matches(x, '{X.CODE_LINE}')))"
+_STRIP = "regexp_replace(regexp_replace(regexp_replace(text, '(?is)<script\\b.*?</script\\s*>', ' ', 'g'), '(?is)<style\\b.*?</style\\s*>', ' ', 'g'), '(?is)<noscript\\b.*?</noscript\\s*>', ' ', 'g')"
+_STRIP = f"regexp_replace(regexp_replace({_STRIP}, '(?i)<br\\s*/?>|</(?:p|div|li|tr|h[1-6])\\s*>', chr(10), 'g'), '(?s)<!--.*?-->|</?[a-zA-Z][^<>]*>', ' ', 'g')"
+for _name, _sign in ENTITIES:
+    _STRIP = f"replace({_STRIP}, '&{_name};', '{_sign.replace(chr(39), chr(39) * 2)}')"
+_STRIP = f"trim(regexp_replace(regexp_replace(regexp_replace({_STRIP}, '[ \\t]+', ' ', 'g'), ' ?\\n ?', chr(10), 'g'), '\\n{{3,}}', chr(10) || chr(10), 'g'))"
 ORACLE = {
+    "html_fallback_clean": f"SELECT id, regexp_matches(text, '<[a-zA-Z!/]') AS looks_like_html, CAST({_n(X.TAG)} AS BIGINT) AS tags, sha256({_STRIP}) AS digest, length({_STRIP}) AS chars FROM (SELECT DISTINCT id, text FROM cleaning_golden WHERE text IS NOT NULL)",
     "raw_line_features": f"SELECT doc_id, {', '.join(f'round({v}, 6) AS {k}' for k, v in _RAWS.items())} FROM {_RAW}",
     "keyword_stuffing": f"SELECT doc_id, top, CAST(words AS BIGINT) AS words, top / words > 0.08 AS stuffed FROM (SELECT doc_id, max(n) AS top, sum(n) AS words FROM (SELECT doc_id, w, count(*) AS n FROM (SELECT doc_id, unnest({WORDS.format(c='lower(text)')}) AS w FROM documents WHERE text IS NOT NULL) GROUP BY 1, 2) GROUP BY 1) WHERE words >= 40",
     "script_profile": "WITH t AS (SELECT DISTINCT id, text FROM redteam_multilingual WHERE text IS NOT NULL), n AS (SELECT id, " + ", ".join(f"CAST(len(regexp_extract_all(text, '{p}')) AS DOUBLE) AS {k}" for k, p in {"latin": r"\p{Latin}", "cyrillic": r"\p{Cyrillic}", "devanagari": r"\p{Devanagari}", "arabic": r"\p{Arabic}", "han": r"\p{Han}", "kana": r"[\p{Hiragana}\p{Katakana}]"}.items()) + " FROM t), a AS (SELECT *, latin+cyrillic+devanagari+arabic+han+kana AS s FROM n), b AS (SELECT *, " + " + ".join(f"CASE WHEN s > 0 AND {k} / s >= 0.05 THEN 1 ELSE 0 END" for k in ("latin", "cyrillic", "devanagari", "arabic", "han", "kana")) + " AS k FROM a) SELECT id, latin, cyrillic, devanagari, arabic, han, kana, CAST(k AS DOUBLE) AS active, CASE WHEN k > 1 THEN CAST(0.28 * (k - 1) AS DOUBLE) ELSE 0.0 END AS mixed FROM b",

@@ -84,6 +84,7 @@ _CNT = f"(SELECT id, lang, {_E(S.EMAIL)} - least({_E(S.EMAIL)}, {_E(S.TEMPLATE_E
 _RED = "regexp_replace(regexp_replace(regexp_replace(regexp_replace(text, '{}', '<SECRET>', 'g'), '{}', '<CARD>', 'g'), '{}', '<EMAIL>', 'g'), '{}', '<PHONE>', 'g')".format(S.SECRET, S.CARD, S.EMAIL, S.PHONE)
 _LIC = "CASE " + " ".join(f"WHEN regexp_matches(text, '{p}') THEN '{n}'" for n, p in S.LICENCES) + " ELSE 'unknown' END"
 ORACLE = {
+    "pii_run_totals": "SELECT run_id, documents_scanned, entities_detected, redactions_applied, accepted, redacted FROM pii_run_stats WHERE run_id IS NOT NULL QUALIFY row_number() OVER (PARTITION BY run_id ORDER BY coalesce(started_at, TIMESTAMP '1970-01-01') DESC, documents_scanned DESC NULLS LAST, entities_detected DESC NULLS LAST, redactions_applied DESC NULLS LAST, accepted DESC NULLS LAST, redacted DESC NULLS LAST) = 1",
     "pii_entity_counts": f"SELECT * FROM {_CNT}",
     "pii_bands": f"SELECT lang, CASE WHEN risk <= 0.20 THEN 'accept' WHEN risk < 0.60 THEN 'redact' WHEN risk < 0.95 THEN 'reject' ELSE 'hard_reject' END AS band, count(*) AS records, round(avg(risk), 6) AS mean_risk FROM (SELECT lang, CASE WHEN benign THEN 0.5 ELSE 1.0 END * CASE WHEN n > 0 THEN least(1, best * 0.85 + 0.05 * least(n, 8)) ELSE 0 END AS risk FROM (SELECT *, emails + phones + cards + secrets AS n, CAST(greatest(CASE WHEN emails > 0 THEN 0.6 ELSE 0 END, CASE WHEN phones > 0 THEN 0.55 ELSE 0 END, CASE WHEN cards > 0 THEN 0.9 ELSE 0 END, CASE WHEN secrets > 0 THEN 0.95 ELSE 0 END) AS DOUBLE) AS best FROM {_CNT})) GROUP BY 1, 2",
     "pii_redact": f"SELECT id, sha256({_RED}) AS digest, length({_RED}) AS chars FROM (SELECT DISTINCT id, text FROM redteam_qa WHERE text IS NOT NULL)",

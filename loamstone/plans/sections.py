@@ -102,6 +102,7 @@ _PAR = r"list_filter(list_transform(regexp_split_to_array(regexp_replace(text, '
 _CUT = r"regexp_extract(t, '(?s)^(.*[.!?])[^.!?]*$', 1)"
 _CODE = f"regexp_replace(regexp_replace(text, '(?s)```.*?```', ' ', 'g'), '{REFERENCES}', '', 'g')"
 ORACLE = {
+    "secret_tokens": f"SELECT source, count(*) AS tokens, count(DISTINCT doc_id) AS documents, round(avg(h), 5) AS entropy FROM (SELECT source, doc_id, tok, -list_sum(list_transform(map_values(list_aggregate(string_split(tok, ''), 'histogram')), lambda k: k / length(tok) * log2(k / length(tok)))) AS h FROM (SELECT source, doc_id, unnest(regexp_extract_all(text, '{SECRET_TOKEN}')) AS tok FROM {_B})) WHERE h >= 3.2 AND regexp_matches(tok, '[0-9]') AND regexp_matches(tok, '[A-Za-z]') GROUP BY 1",
     "truncation_repair": f"SELECT doc_id, length(t) AS chars, CASE WHEN fit THEN length(c) ELSE length(t) END AS kept, fit AS repaired FROM (SELECT *, length(c) >= 0.45 * length(t) AND NOT regexp_matches(c, '{ABBREVIATION}') AS fit FROM (SELECT doc_id, t, {_CUT} AS c FROM (SELECT doc_id, {_T} AS t FROM {_B}) WHERE t <> '' AND NOT regexp_matches(t, '[.!?\"'')\\]]$')))",
     "code_stripped": f"SELECT doc_id, length(text) AS chars, length(c) AS kept, length(c) < 0.5 * length(text) AS mostly_code FROM (SELECT doc_id, text, {_CODE} AS c FROM {_B}) WHERE length(c) < length(text)",
     "instruction_density": f"SELECT category, count(*) AS records, round(avg(0.65 * len(list_filter(ls, lambda x: regexp_matches(x, '{WRAPPER}'))) / len(ls)), 6) AS density FROM (SELECT category, {LINES} AS ls FROM (SELECT DISTINCT ON (id, text) id, category, text FROM redteam_qa WHERE text IS NOT NULL)) WHERE len(ls) > 0 GROUP BY 1",

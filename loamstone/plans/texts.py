@@ -157,7 +157,16 @@ def token_hashes(spark, d):
 
 QUERIES = {f.__name__: f for f in (normalize_minimal, content_hash_groups, exact_dedup_first_wins, hash_index_summary, new_against_index, size_alpha_gate, admission_tiers, byte_budget_per_source, weighted_interleave, ingest_metadata, multilingual_sources, stratified_sample, full_normalize_digest, paragraph_dedup, collapsed_lines, sampled_ends, token_hashes)}
 
+_FULL = "regexp_replace(translate(nfc_normalize(text), '‘’‚‛“”„‟–—―' || chr(160) || chr(8201) || chr(8239), '\'\'\'\'\'\'\'\'\"\"\"\"---   '), '[\\x{200B}\\x{200C}\\x{200D}\\x{2060}\\x{FEFF}\\x{AD}]', '', 'g')"
+for _p, _by in ((r"\r\n?", "\n"), (r"[ \t]+\n", "\n"), (r"[ \t]{2,}", " "), ("!{2,}", "!"), (r"\?{2,}", "?"), (",{2,}", ","), (";{2,}", ";"), (":{2,}", ":"), (r"\n{3,}", "\n\n")):
+    _FULL = f"regexp_replace({_FULL}, '{_p}', '{_by}', 'g')"
+_REPAIR = f"trim({_FULL})"
+for _p, _by in ((r"\\([*_#\[\]()~`>+.!-])", r"\1"), (r"\[\s*\]\([^)]*\)", ""), (r"(?m)^[ \t]*[-*+][ \t]*$\n?", ""), (r"[ \t]+([,.;:!?])(\s|$)", r"\1\2")):
+    _REPAIR = f"regexp_replace({_REPAIR}, '{_p}', '{_by}', 'g')"
+_U64 = "CAST('0x' || substr(sha256(source), 1, 16) AS UBIGINT)"
 ORACLE = {
+    "full_normalize_digest": f"SELECT doc_id, length(t) AS chars, sha256(t) AS digest FROM (SELECT doc_id, {_REPAIR} AS t FROM documents)",
+    "token_hashes": f"SELECT source, CAST(CASE WHEN {_U64} >= 9223372036854775808 THEN CAST({_U64} AS HUGEINT) - 18446744073709551616 ELSE CAST({_U64} AS HUGEINT) END AS BIGINT) AS h, substr(sha256('v1' || chr(31) || source), 1, 24) AS fingerprint FROM (SELECT DISTINCT source FROM documents WHERE source IS NOT NULL)",
     "normalize_minimal": rf"SELECT doc_id, length(flat) AS chars, length(regexp_replace(flat,'[^\p{{L}}\p{{N}}]','','g')) AS meaningful, sha256(flat) AS digest FROM (SELECT doc_id, {FLAT} AS flat FROM documents)",
     "content_hash_groups": f"SELECT sha256({DEDUP}) AS hash, count(*) AS copies, min(doc_id) AS first_doc_id, max(doc_id) AS last_doc_id FROM documents GROUP BY 1",
     "exact_dedup_first_wins": f"SELECT hash, doc_id, lang FROM (SELECT doc_id, lang, sha256({DEDUP}) AS hash FROM documents) QUALIFY row_number() OVER (PARTITION BY hash ORDER BY doc_id) = 1",
