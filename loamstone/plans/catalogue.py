@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES: tuple[str, ...] = ("loamstone.plans.texts", "loamstone.plans.features", "loamstone.plans.similar", "loamstone.plans.mixture", "loamstone.plans.safety", "loamstone.plans.evaluate", "loamstone.plans.cleaning", "loamstone.plans.signals", "loamstone.plans.sections", "loamstone.plans.pipeline", "loamstone.plans.evidence", "loamstone.plans.decisions", "loamstone.plans.rights", "loamstone.plans.languages", "loamstone.plans.gates", "loamstone.plans.curation", "loamstone.plans.intel")
+MODULES: tuple[str, ...] = ("loamstone.plans.texts", "loamstone.plans.features", "loamstone.plans.similar", "loamstone.plans.mixture", "loamstone.plans.safety", "loamstone.plans.evaluate", "loamstone.plans.cleaning", "loamstone.plans.signals", "loamstone.plans.sections", "loamstone.plans.pipeline", "loamstone.plans.evidence", "loamstone.plans.decisions", "loamstone.plans.rights", "loamstone.plans.languages", "loamstone.plans.gates", "loamstone.plans.curation", "loamstone.plans.intel", "loamstone.plans.units")
 
 
 def queries() -> dict:
