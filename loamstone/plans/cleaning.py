@@ -8,7 +8,8 @@ from pyspark.sql.window import Window
 from loamstone.functions import text as T
 from loamstone.operators import formatters as R
 from loamstone.functions.sheet import Sheet
-from loamstone.sources.tables import table
+from loamstone.operators.chunks import chunked
+from loamstone.sources.tables import spread, table
 
 #: Lines that clean-up drops, as Java and RE2 read alike.
 UI_LINE = r"(?i)^(?:[-*] )?(?:home|search|log in|register|my account|share|print this page|back to top.*|skip to main content|load more.*|advertisement)$"
@@ -61,6 +62,12 @@ def chunk_plan(spark, d):
     return table(spark, d, "documents").where("text is not null").select("doc_id", F.ceil(n / 4.0 / 3000).cast("bigint").alias("chunks"), F.ceil(n / 4.0).cast("bigint").alias("tokens")).where("chunks > 1")
 
 
+def text_chunks(spark, d):
+    """O-237: chunks of at most 600 estimated tokens of every document, cut at blocks and sentences with an overlap of sentences."""
+    c = chunked(spread(table(spark, d, "documents").select("doc_id", "text")), 600)
+    return c.select("doc_id", "chunk", "chunks", F.length("text").alias("chars"), F.sha2("text", 256).alias("digest"))
+
+
 def fragment_statistics(spark, d):
     """O-038, O-359, O-360: document and line frequency of every fuzzy line, its mean place, those in two documents and more."""
     t = table(spark, d, "documents").where("text is not null").select("doc_id", F.posexplode(F.split("text", "\n")).alias("k", "line"))
@@ -167,7 +174,7 @@ def best_outputs(spark, d):
     return part.withColumn("r", F.row_number().over(Window.partitionBy("category").orderBy(F.desc("recall"), "id"))).where("r <= 5").select("category", "id", "recall", "r")
 
 
-QUERIES = {f.__name__: f for f in (formatted_items, formatted_rows, qa_pairs, cleaned_lines, segments, chunk_plan, fragment_statistics, fragment_promotion, safe_trim, safe_trim_all, family_overview, gene_aging, overlap_router, role_sections, best_outputs)}
+QUERIES = {f.__name__: f for f in (formatted_items, formatted_rows, qa_pairs, cleaned_lines, segments, chunk_plan, text_chunks, fragment_statistics, fragment_promotion, safe_trim, safe_trim_all, family_overview, gene_aging, overlap_router, role_sections, best_outputs)}
 
 from loamstone.plans.texts import DEDUP as _D  # noqa: E402
 

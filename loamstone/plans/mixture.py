@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from loamstone.operators.order import running
-from loamstone.sources.tables import table
+from loamstone.plans.evidence import MEASURED
+from loamstone.sources.tables import spread, table
 
 def mixture_weights(spark, d):
     """O-306, O-307, O-314: inverse-gap weights of domains towards equal shares."""
@@ -53,6 +54,23 @@ def sampling_weights(spark, d):
     return t.groupBy("lang").agg(F.count("*").alias("documents"), F.round(F.sum(w), 4).alias("weight"))
 
 
+#: Cut-offs of the policy: a document beyond one has no weight at all.
+POLICY = {"min_quality": 0.3, "synthetic_cap": 0.72, "max_spam": 0.55, "min_education": 0.0, "languages": ("en", "de", "fr", "es")}
+
+
+def policy_weights(spark, d):
+    """O-308, O-309: sampling weight of every document from its quality, its language and its size, nil beyond a cut-off of the policy."""
+    x = MEASURED.spark(spread(table(spark, d, "documents").where("text is not null and length(text) > 0").select("doc_id", "lang", "source", "domain", "text")))
+    return x.selectExpr("doc_id", f"round({_POLICY} + 1e-9, 5) AS weight")
+
+
+_QUALITY = "1.0 - greatest(boilerplate, commercial, seo, low_info)"
+_POLICY = (
+    f"CASE WHEN {_QUALITY} < {POLICY['min_quality']} OR synthetic > {POLICY['synthetic_cap']} OR token_spam > {POLICY['max_spam']} OR education < {POLICY['min_education']} OR coalesce(lang, 'en') NOT IN {POLICY['languages']!r} THEN 0.0"
+    f" ELSE greatest(1e-6, ({_QUALITY}) * (1.0 + 0.5 * education + 0.5 * factual + 0.3 * reasoning) * (1.0 - 0.5 * synthetic) * (CASE WHEN coalesce(lang, 'en') = 'en' THEN 1.0 ELSE 1.3 END) * (CASE WHEN n > 16000 THEN 0.6 WHEN n > 8000 THEN 0.8 WHEN n < 200 THEN 0.5 ELSE 1.0 END)) END"
+)
+
+
 def weighted_sample_order(spark, d):
     """O-311: the 200 documents first in a deterministic weighted order (a top-k report of `weighted_order`)."""
     f = F.conv(F.substring(F.sha2(F.concat(F.lit("s1:"), F.col("doc_id").cast("string")), 256), 1, 13), 16, 10).cast("double") / float(1 << 52)
@@ -130,12 +148,13 @@ def top_sources(spark, d):
     return table(spark, d, "documents").groupBy("source").agg(F.sum(F.length("text")).alias("chars"), F.count("*").alias("documents")).orderBy(F.desc("chars"), "source").limit(5)
 
 
-QUERIES = {f.__name__: f for f in (mixture_weights, hash_split, domain_quota_batch, sampling_weights, weighted_sample_order, weighted_order, curriculum_stage_ranges, replay_injection, shard_plan, sequence_windows, top_sources)}
+QUERIES = {f.__name__: f for f in (mixture_weights, hash_split, domain_quota_batch, sampling_weights, policy_weights, weighted_sample_order, weighted_order, curriculum_stage_ranges, replay_injection, shard_plan, sequence_windows, top_sources)}
 
 _F52 = "CAST(CAST('0x' || substr(sha256('{p}' || doc_id), 1, 13) AS BIGINT) AS DOUBLE) / 4503599627370496"
 _TOK = r"len(list_filter(regexp_split_to_array(text, '[\s\x0b\p{Z}\x{85}]+'), lambda x: x <> '')) + 1"
 _CUR = f"(SELECT doc_id, tokens, coalesce(sum(tokens) OVER (ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS cursor FROM (SELECT doc_id, {_TOK} AS tokens FROM documents WHERE text IS NOT NULL))"
 ORACLE = {
+    "policy_weights": f"SELECT doc_id, round({_POLICY} + 1e-9, 5) AS weight FROM {MEASURED.duck('(SELECT doc_id, lang, source, domain, text FROM documents WHERE text IS NOT NULL AND length(text) > 0)')}",
     "mixture_weights": "WITH t AS (SELECT coalesce(domain,'none') AS domain, count(*) AS n FROM documents GROUP BY 1), r AS (SELECT domain, n, 0.05 + 2 * greatest(0, 1 / (SELECT count(*) FROM t) - n / (SELECT sum(n) FROM t)) + 1 / (SELECT count(*) FROM t) AS raw FROM t) SELECT domain, n, round(raw / (SELECT sum(raw) FROM r), 6) AS weight FROM r",
     "hash_split": f"SELECT doc_id, CASE WHEN f < 0.05 THEN 'test' WHEN f < 0.15 THEN 'val' ELSE 'train' END AS split FROM (SELECT doc_id, {_F52.format(p='7:')} AS f FROM documents)",
     "domain_quota_batch": "WITH t AS (SELECT doc_id, coalesce(domain,'none') AS domain, row_number() OVER (PARTITION BY coalesce(domain,'none') ORDER BY substr(sha256(CAST(doc_id AS VARCHAR)),1,8), doc_id) AS place FROM documents) SELECT doc_id, domain, place FROM t WHERE place <= floor((SELECT count(*) FROM documents) * 0.15 * 1.15)",

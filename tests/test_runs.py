@@ -49,3 +49,15 @@ def test_run_lock(spark, tmp_path):
             pass
     with runs.run_lock(spark, str(tmp_path), "three"):
         pass
+
+
+def test_segments_hold_every_word_and_keep_code_whole():
+    from loamstone.operators.chunks import segment
+
+    code = "```\n" + "x = 1\n\n" * 60 + "```"
+    text = "# Head\n\n" + "The gate stands by the river. It is old and made of stone. " * 30 + "\n\n" + code + "\n\n" + "word " * 900 + "\n\nThe end comes here."
+    parts = segment(text, 100)
+    assert len(parts) > 5 and sum(code in p for p in parts) == 1 and parts[0].startswith("# Head\n\nThe gate")
+    assert all(len(p) <= 400 * 1.4 or "```" in p for p in parts) and segment(None) == segment(" \n ") == [] and segment("short") == ["short"]
+    assert " ".join(text.split()).count("word") == sum(p.count("word") for p in segment(text, 100, overlap=0.0))
+    assert parts[1].split("\n\n")[0] in parts[0]
