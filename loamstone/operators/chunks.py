@@ -68,7 +68,8 @@ def segment(text: str | None, max_tokens: int = 3000, chars_per_token: int = 4,
         groups[-1].append(b)
         used += len(b) + 2
     if len(groups) > 1 and sum(map(len, groups[-1])) < least * size:
-        groups[-2] += groups.pop()
+        tail = groups.pop()
+        groups[-1] += tail
     bodies = ["\n\n".join(g) for g in groups]
     out = bodies[:1]
     for before, body in zip(bodies, bodies[1:]):

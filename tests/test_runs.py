@@ -60,4 +60,5 @@ def test_segments_hold_every_word_and_keep_code_whole():
     assert len(parts) > 5 and sum(code in p for p in parts) == 1 and parts[0].startswith("# Head\n\nThe gate")
     assert all(len(p) <= 400 * 1.4 or "```" in p for p in parts) and segment(None) == segment(" \n ") == [] and segment("short") == ["short"]
     assert " ".join(text.split()).count("word") == sum(p.count("word") for p in segment(text, 100, overlap=0.0))
+    assert len(segment("a b c. " * 60 + "\n\nshort tail.", 100)) == 1 and segment("a b c. " * 120 + "\n\nshort tail.", 100)[-1].endswith("short tail.")
     assert parts[1].split("\n\n")[0] in parts[0]
