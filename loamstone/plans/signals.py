@@ -87,7 +87,7 @@ def page_metadata(spark, d):
 
 QUERIES = {f.__name__: f for f in (sentence_rhythm, heading_repeats, metadata_only, tokenizer_efficiency, quota_moves, chunk_validation, page_metadata)}
 
-from loamstone.plans.features import LINES, WORDS, _n  # noqa: E402
+from loamstone.plans.features import LINES, WORDS  # noqa: E402
 
 _B = "documents WHERE text IS NOT NULL AND length(text) > 0"
 _W = WORDS.format(c="text")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from loamstone.config import Settings
 from loamstone.functions import text as T
 from loamstone.operators.order import running
 from loamstone.sources.tables import spread, table
@@ -45,13 +46,13 @@ def new_against_index(spark, d):
     return docs.join(known, "hash", "left_anti").select("doc_id", "source", "hash")
 
 
-def size_alpha_gate(spark, d):
+def size_alpha_gate(spark, d, cfg: Settings = Settings()):
     """O-014, O-114, O-115: size and alphabet gates with one reason per document."""
     t = table(spark, d, "documents").select("doc_id", "domain", T.minimal_normalize(F.col("text")).alias("flat"))
     m, n = T.meaningful_chars(F.col("flat")), F.length("flat")
     code = F.coalesce(F.col("domain") == "code", F.lit(False))
     letters = F.length(F.regexp_replace("flat", r"[^\p{L}]", ""))
-    reason = F.when(n == 0, "empty_text").when((m < 100) & ~code, "too_short").when((n > 100_000) & ~code, "document_too_large").when(letters / n < 0.5, "low_alpha").otherwise("ok")
+    reason = F.when(n == 0, "empty_text").when((m < cfg.min_chars) & ~code, "too_short").when((n > cfg.max_chars) & ~code, "document_too_large").when(letters / n < cfg.min_alpha, "low_alpha").otherwise("ok")
     return t.select("doc_id", m.alias("meaningful"), n.alias("chars"), reason.alias("reason"))
 
 

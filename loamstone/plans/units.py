@@ -48,7 +48,7 @@ UNITS = EVIDENCE + Sheet([
     },
     {"incomplete": "CASE WHEN headed OR fenced OR list_share > 0.5 OR table_share > 0.5 THEN 0.0 WHEN end_clean THEN CASE WHEN lower_start THEN 0.2 ELSE 0.0 END WHEN dangling THEN 0.78 WHEN end_open THEN 0.88 WHEN end_joined THEN 0.62 ELSE 0.5 END"},
     {
-        "class": "CASE WHEN wc = 0 THEN 'empty' WHEN fenced OR code_density > 0.6 THEN 'code' WHEN table_share > 0.5 THEN 'table' WHEN s_navigation >= 0.5 THEN 'navigation' WHEN s_publication >= 0.5 THEN 'publication' WHEN s_legal >= 0.5 THEN 'legal' WHEN headed AND lc <= 1 THEN 'heading'"
+        "class": "CASE WHEN wc = 0 THEN 'empty' WHEN fenced OR code_density > 0.6 THEN 'code' WHEN table_share > 0.5 AND ui_share < 0.5 THEN 'table' WHEN s_navigation >= 0.5 THEN 'navigation' WHEN s_publication >= 0.5 THEN 'publication' WHEN s_legal >= 0.5 THEN 'legal' WHEN headed AND lc <= 1 THEN 'heading'"
         " WHEN ref_hits / lc >= 0.6 THEN 'reference' WHEN s_exercise >= 0.5 AND s_exercise > s_knowledge THEN 'exercise' WHEN s_answer >= 0.5 THEN 'answer' WHEN s_question >= 0.5 THEN 'question' WHEN s_comment >= 0.5 THEN 'comment' WHEN list_share > 0.5 THEN 'list' WHEN s_knowledge >= 0.35 THEN 'explanation' WHEN r_factual > r_narrative THEN 'facts' ELSE 'prose' END",
         "retention": "greatest(0.0, least(1.0, utility * 0.5 + strength * q_coherence * 0.3 + (1.0 - incomplete) * 0.2 - s_navigation * 0.4 - s_publication * 0.3 - scaffold_hits / greatest(wc / 30, 1.0) * 0.2))",
     },

@@ -80,3 +80,13 @@ def test_gate_reasons(spark):
     prose = "The theorem was measured in a study because the proof is an example. It means that the force equals mass. " * 6
     r = rows(spark, gates.GATED, [list_page, tags, prose, "zxcvbnm qwrtpsd bcdfghj \ufffd\ufffd\ufffd\ufffd\ufffd\ufffd\ufffd"], ["gate", "salvage"])
     assert r[1][0] == "html_dump" and r[2] == ("keep", True) and r[3][0] in ("extreme_corruption", "low_utility")
+
+
+def test_units(spark):
+    from loamstone.plans import units
+
+    texts = ["Menu | About | Contact | Home", "Question: why does the gate fail?", "The force is defined as mass because, for example, it depends on the rate. Therefore it means that it grows. " * 3, "```\ndef f():\n    return 1\n```", "Exercise: fill in the words. Homework: write down ten. Quiz: choose the correct one.", "and then it went on to the"]
+    df = spark.createDataFrame([(k, "s", "web", 10, k, t, k / 10) for k, t in enumerate(texts)], "doc_id long, source string, domain string, blocks int, block int, text string, spot double")
+    r = {x["doc_id"]: x for x in units.UNITS.spark(df).select("doc_id", "class", "kept", "incomplete", "dropped_for").collect()}
+    assert [r[k]["class"] for k in range(5)] == ["navigation", "question", "explanation", "code", "exercise"]
+    assert r[2]["kept"] and not r[0]["kept"] and r[0]["dropped_for"] == "class_navigation" and float(r[5]["incomplete"]) == 0.78
