@@ -28,6 +28,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from loamstone.functions.arrow import flat_map
 from loamstone.sources.tables import shared_dir, spread, table, written
@@ -36,14 +38,18 @@ WIDTH = 512
 SHARE = 0.85
 CENTROIDS = 24
 SAMPLE = 4000  # texts that the centroids are fitted on; they decide speed only, never the result
-BLOCK = 8_192  # vectors of a block; vectors of long texts count as several
+BLOCK = 8_192  # vectors of a block of a small index; vectors of long texts count as several
+STREAM = 65_536  # vectors of a block at most; they pass by, so this bounds the time of a task and not its memory
 LONG = 500  # words for which a vector counts once
-CHUNK = 16_384  # queries that meet a block in one task
+CHUNK = 16_384  # queries that a task holds; those of long texts count as several
+SLICE = 1_024  # rows that are compared at once
+FLUSH = 1 << 20  # words of queries that leave the sender in one Arrow batch
 ANGLE = math.acos(SHARE)
 TAG = re.compile(r"<[^<>\n]{0,300}>")
 WORD = re.compile(r"[^\W_]+")
 INVISIBLE = "\u00ad\u200b\u200c\u200d\u2060\ufeff"  # soft hyphen, zero-width signs, byte order mark
 VECTOR = "doc_id long, digest string, n int, seq binary"
+MEETING = "part int, side int, centroid int, n int, id long, last_id long, digest string, seq binary, angle float"
 
 
 def words(text: str | None) -> list[str]:
@@ -141,9 +147,13 @@ def unit(counts: np.ndarray) -> np.ndarray:
 
 def matrix(column: list[bytes]) -> np.ndarray:
     """Word counts by bucket of each sequence of coordinates."""
-    rows = np.repeat(np.arange(len(column)), [len(x) // 4 for x in column])
-    flat = np.frombuffer(b"".join(column), dtype="<u4") % WIDTH
-    return np.bincount(rows * WIDTH + flat, minlength=len(column) * WIDTH).reshape(-1, WIDTH).astype(np.float32)
+    out = np.zeros((len(column), WIDTH), dtype=np.float32)
+    for s in range(0, len(column), 256):
+        part = column[s : s + 256]
+        rows = np.repeat(np.arange(len(part)), [len(x) // 4 for x in part])
+        flat = np.frombuffer(b"".join(part), dtype="<u4") % WIDTH
+        out[s : s + 256] = np.bincount(rows * WIDTH + flat, minlength=len(part) * WIDTH).reshape(-1, WIDTH)
+    return out
 
 
 def fit_centroids(docs: DataFrame, sample: int = SAMPLE, k: int = CENTROIDS, rounds: int = 8) -> np.ndarray:
@@ -244,127 +254,173 @@ class CellIndex:
         return _figures(figures, F.sum("size"), "least", "most", "angle").collect()
 
     def probe(self, queries: DataFrame) -> DataFrame:
-        """(q_id, q_digest, x_id, x_digest): pairs of a query class and an indexed class that pass every bound of the vectors.
+        """(q_id, q_digest, x_id): the indexed class of smallest id that is near a query class, at least; further ones where it meets several blocks.
 
-        queries: the columns of INDEX. Only pairs with x_id below the query's
-        largest id and different digests are given.
+        queries: the columns of INDEX. Only x_id below the query's largest id
+        and classes of different digests are given. A block streams past the
+        queries of a chunk, so a task holds CHUNK queries and one Arrow batch
+        however large index, batch and blocks are.
         """
-        stats = self.statistics()
-        blocks: dict[tuple[int, int], list[int]] = {}
-        parts: dict[tuple[int, int], int] = {}
-        number, room = 0, 0
-        for r in sorted(stats, key=lambda r: (r["band"], r["centroid"])):
-            cell = (r["band"], r["centroid"])
-            weight = r["size"] * max(1, -(-r["most"] // LONG))
-            split = -(-weight // BLOCK)
+        spark, empty = self.spark, "q_id long, q_digest string, x_id long"
+        stats = sorted(self.statistics(), key=lambda r: (r["band"], r["centroid"]))
+        if not stats:
+            return spark.createDataFrame([], empty)
+        weights = [r["size"] * max(1, -(-r["most"] // LONG)) for r in stats]
+        most = min(STREAM, max(BLOCK, sum(weights) // (4 * spark.sparkContext.defaultParallelism)))
+        cells, number, room = [], -1, 0
+        for r, weight in zip(stats, weights):
+            split = -(-weight // most)
             if split > 1 or room < weight:
-                number, room = number + 1, BLOCK
-            parts[cell] = split
-            blocks[cell] = list(range(number, number + split))
+                number, room = number + 1, most
+            cells.append((r["band"], r["centroid"], number, split))
             number += split - 1
             room = room - weight if split == 1 else 0
-        by_band: dict[int, list] = {}
-        for r in stats:
-            by_band.setdefault(r["band"], []).append(r)
-        directions = self.centroids
-
-        def possible(n: int, angles: np.ndarray) -> list[tuple[int, int]]:
-            """Cells whose bounds leave room for a holder of a text of n words."""
-            out = []
-            b = int(band(np.array([n]))[0])
-            for k in (b - 1, b, b + 1):
-                for r in by_band.get(k, ()):
-                    if r["most"] >= SHARE * n - 1e-6 and r["least"] <= n / SHARE + 1e-6 and angles[r["centroid"]] - r["angle"] <= ANGLE + 1e-3:
-                        out.append((k, r["centroid"]))
-            return out
+        reach = _reach(stats, cells, number + 1, self.centroids)
+
+        def count(batches):
+            for b in batches:
+                total = np.zeros(number + 1, dtype=np.int64)
+                heavy = np.maximum(1, -(-b.column("n").to_numpy() // LONG))
+                for at, blocks in reach(b):
+                    np.add.at(total, blocks, heavy[at])
+                yield pa.RecordBatch.from_arrays([pa.array(np.arange(number + 1), pa.int32()), pa.array(total)], names=["block", "weight"])
+
+        asked = queries.select("digest", "n", "seq", "doc_id", "last_id")
+        loads = asked.mapInArrow(count, "block int, weight long").groupBy("block").agg(F.sum("weight").alias("weight")).where("weight > 0").collect()
+        # first group of every block that a query reaches, and its chunks of queries
+        first, chunks, groups = np.full(number + 1, -1), np.zeros(number + 1, dtype=np.int64), 0
+        for r in sorted(loads):
+            first[r["block"]], chunks[r["block"]] = groups, -(-r["weight"] // CHUNK)
+            groups += int(chunks[r["block"]])
+        if not groups:
+            return spark.createDataFrame([], empty)
+
+        schema = to_arrow_schema(StructType.fromDDL(MEETING))
 
         def send(batches):
             for b in batches:
-                if not b.num_rows:
+                part = np.array([int(d[:8], 16) for d in b.column("digest").to_pylist()], dtype=np.int64)
+                words_ = b.column("n").to_numpy().astype(np.int64)
+                for at, blocks in reach(b):
+                    group = first[blocks] + part[at] % chunks[blocks]
+                    piece = np.cumsum(words_[at]) // FLUSH
+                    for k in np.split(np.arange(len(at)), np.nonzero(np.diff(piece))[0] + 1):
+                        if len(k):
+                            t = b.take(pa.array(at[k]))
+                            zero = pa.array(np.zeros(len(k), dtype=np.int32))
+                            yield pa.RecordBatch.from_arrays([pa.array(group[k], pa.int32()), zero, zero, t.column("n"), t.column("doc_id"), t.column("last_id"), t.column("digest"), t.column("seq"), pa.array(np.zeros(len(k), dtype=np.float32))], schema=schema)
+
+        sent = asked.mapInArrow(send, MEETING)
+        places = spark.createDataFrame(cells, "band int, centroid int, block int, split int")
+        ranges = spark.createDataFrame([(k, int(first[k]), int(first[k] + chunks[k] - 1)) for k in range(number + 1) if chunks[k]], "block int, low int, high int")
+        bands = sorted({band_ for k, (band_, _, at, split) in enumerate(cells) if chunks[at : at + split].any()})
+        held = self.cells(bands).join(F.broadcast(places), ["band", "centroid"]).withColumn("block", (F.col("block") + F.pmod(F.xxhash64("digest"), F.col("split"))).cast("int"))
+        held = held.join(F.broadcast(ranges), "block").withColumn("part", F.explode(F.sequence("low", "high")))
+        held = held.select("part", F.lit(1).alias("side"), "centroid", "n", F.col("doc_id").alias("id"), "last_id", "digest", "seq", "angle")
+        met = sent.unionByName(held).repartitionById(groups, F.col("part")).sortWithinPartitions("part", "side", "centroid", "n")
+        return met.mapInArrow(_meet(self.centroids), empty)
+
+
+def _reach(stats: list, cells: list[tuple], blocks: int, directions: np.ndarray):
+    """Rows of a batch with digest, n and seq, and the blocks whose bounds leave room for a holder of them, some rows at a time."""
+    cent = np.array([r["centroid"] for r in stats])
+    least, most, angle = (np.array([r[k] for r in stats], dtype=np.float64) for k in ("least", "most", "angle"))
+    inside = np.zeros((len(cells), blocks), dtype=np.float32)
+    for k, (_, _, at, split) in enumerate(cells):
+        inside[k, at : at + split] = 1
+
+    def run(b):
+        n, seq = b.column("n").to_numpy().astype(np.float64)[:, None], b.column("seq")
+        for s in range(0, b.num_rows, SLICE):
+            e = min(s + SLICE, b.num_rows)
+            ang = np.arccos(np.clip(unit(matrix(seq.slice(s, e - s).to_pylist())) @ directions.T, -1, 1))
+            ok = (most >= SHARE * n[s:e] - 1e-6) & (least <= n[s:e] / SHARE + 1e-6) & (ang[:, cent] - angle <= ANGLE + 1e-3)
+            at, to = np.nonzero(ok.astype(np.float32) @ inside)
+            yield at + s, to
+
+    return run
+
+
+class _Asked:
+    """The queries of a chunk by length, and the smallest id that each has met so far."""
+
+    def __init__(self, pieces: list[pa.RecordBatch], directions: np.ndarray):
+        t = pa.Table.from_batches(pieces).sort_by("n")
+        self.n, self.id, self.digest = t["n"].to_numpy().astype(np.float32), t["id"].to_numpy(), t["digest"].to_pylist()
+        self.below, self.met = t["last_id"].to_numpy().copy(), np.zeros(t.num_rows, dtype=bool)
+        self.seq = t["seq"].to_pylist()
+        self.v = np.empty((t.num_rows, WIDTH), dtype=np.float32)
+        self.angle = np.empty((t.num_rows, len(directions)), dtype=np.float32)
+        for s in range(0, t.num_rows, SLICE):
+            v = self.v[s : s + SLICE] = np.sqrt(matrix(self.seq[s : s + SLICE]))
+            self.angle[s : s + SLICE] = np.arccos(np.clip((v / np.linalg.norm(v, axis=1, keepdims=True)) @ directions.T, -1, 1))
+
+    def meet(self, x: pa.RecordBatch) -> None:
+        """Indexed vectors of one centroid by length; cells are pruned by angle, slices by length."""
+        lens, xid, c = x.column("n").to_numpy().astype(np.float32), x.column("id").to_numpy(), x.column("centroid")[0].as_py()
+        xb, xd, widest = x.column("seq").to_pylist(), x.column("digest").to_pylist(), x.column("angle").to_numpy().max()
+        low, high = np.searchsorted(self.n, SHARE * lens[0] - 1e-3), np.searchsorted(self.n, lens[-1] / SHARE + 1e-3, side="right")
+        ok = low + np.nonzero(self.angle[low:high, c] - widest <= ANGLE + 1e-3)[0]
+        if not len(ok):
+            return
+        xc = matrix(xb)
+        xv = np.sqrt(xc)
+        for s in range(0, len(ok), 256):
+            qq = ok[s : s + 256]
+            lo, hi = np.searchsorted(lens, SHARE * self.n[qq[0]] - 1e-3), np.searchsorted(lens, self.n[qq[-1]] / SHARE + 1e-3, side="right")
+            if lo >= hi:
+                continue
+            longer = np.maximum(self.n[qq][:, None], lens[None, lo:hi])
+            qv = self.v[qq]
+            at, bt = np.nonzero((qv @ xv[lo:hi].T >= SHARE * longer - 1e-2 - 1e-4 * longer) & (xid[lo:hi][None] < self.below[qq][:, None]))
+            if not len(at):
+                continue
+            # the histograms' common part bounds the common subsequence from above
+            common = np.concatenate([np.minimum(np.rint(qv[at[k : k + 1024]] ** 2), xc[lo + bt[k : k + 1024]]).sum(axis=1) for k in range(0, len(at), 1024)])
+            keep = common >= SHARE * longer[at, bt] - 1e-2
+            places: dict[int, int] = {}
+            last = -1
+            for a, j in zip(at[keep], lo + bt[keep]):
+                i = qq[a]
+                if xid[j] >= self.below[i] or self.digest[i] == xd[j]:
                     continue
-                table_ = {c: b.column(c).to_pylist() for c in ("doc_id", "last_id", "digest", "n", "seq")}
-                ang = np.arccos(np.clip(unit(matrix(table_["seq"])) @ directions.T, -1, 1))
-                rows = []
-                for k in range(b.num_rows):
-                    targets = {x for cell in possible(table_["n"][k], ang[k]) for x in blocks[cell]}
-                    rows += [(x, table_["doc_id"][k], table_["last_id"][k], table_["digest"][k], table_["n"][k], table_["seq"][k]) for x in targets]
-                if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.int64(), pa.int64(), pa.string(), pa.int32(), pa.binary()))], names=["block", "q_id", "q_last", "q_digest", "q_n", "q_seq"])
-
-        sent = queries.select("doc_id", "last_id", "digest", "n", "seq").mapInArrow(send, "block int, q_id long, q_last long, q_digest string, q_n int, q_seq binary")
-        # where very many queries meet one block, both sides are cut further; blocks and queries then meet in chunks
-        chunks = max(1, -(-queries.count() // CHUNK))
-        sent = sent.withColumn("chunk", F.pmod(F.xxhash64("q_digest"), F.lit(chunks)).cast("int"))
-        first = F.create_map(*[x for cell, b in blocks.items() for x in (F.lit(f"{cell[0]}.{cell[1]}"), F.lit(b[0]))]) if blocks else None
-        if first is None:
-            return self.spark.createDataFrame([], "q_id long, q_digest string, x_id long, x_digest string")
-        many = F.create_map(*[x for cell, b in parts.items() for x in (F.lit(f"{cell[0]}.{cell[1]}"), F.lit(b))])
-        key = F.concat_ws(".", F.col("band").cast("string"), F.col("centroid").cast("string"))
-        # only bands that a query can reach are read
-        asked = [r["band"] for r in queries.select("band").distinct().collect()]
-        held = self.cells([b + k for b in asked for k in (-1, 0, 1)]).withColumn("block", (first[key] + F.pmod(F.xxhash64("digest"), many[key])).cast("int"))
-        held = held.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1)))).select("block", "chunk", "doc_id", "digest", "n", "seq", "centroid", "angle")
-        meet = _meet(directions)
-        return sent.groupBy("block", "chunk").cogroup(held.groupBy("block", "chunk")).applyInArrow(meet, "q_id long, q_digest string, x_id long, x_digest string")
+                if i != last:
+                    last, places = i, {}
+                    for k, w in enumerate(np.frombuffer(self.seq[i], "<u4").tolist()):
+                        places[w] = places.get(w, 0) | 1 << k
+                need = math.ceil(SHARE * max(int(self.n[i]), int(lens[j])) - 1e-9)
+                if reaches(places, int(self.n[i]), np.frombuffer(xb[j], "<u4").tolist(), need):
+                    self.below[i], self.met[i] = xid[j], True
+
+    def found(self) -> pa.RecordBatch:
+        k = np.nonzero(self.met)[0]
+        return pa.RecordBatch.from_arrays([pa.array(self.id[k], pa.int64()), pa.array([self.digest[i] for i in k], pa.string()), pa.array(self.below[k], pa.int64())], names=["q_id", "q_digest", "x_id"])
 
 
 def _meet(directions: np.ndarray):
-    """Queries against the vectors of one block, cell by cell, cells and annuli pruned by angle."""
-    schema = pa.schema([("q_id", pa.int64()), ("q_digest", pa.string()), ("x_id", pa.int64()), ("x_digest", pa.string())])
-
-    def run(q: pa.Table, x: pa.Table) -> pa.Table:
-        out: list[tuple] = []
-        if q.num_rows and x.num_rows:
-            qb = q["q_seq"].to_pylist()
-            qc = matrix(qb)
-            qv = np.sqrt(qc)
-            qn = q["q_n"].to_numpy().astype(np.float32)
-            ql = q["q_last"].to_numpy()
-            q_ang = np.arccos(np.clip((qv / np.linalg.norm(qv, axis=1, keepdims=True)) @ directions.T, -1, 1))
-            xn = x["n"].to_numpy().astype(np.float32)
-            xid = x["doc_id"].to_numpy()
-            cent, x_ang = x["centroid"].to_numpy(), x["angle"].to_numpy()
-            qid, qd, xd = q["q_id"].to_pylist(), q["q_digest"].to_pylist(), x["digest"].to_pylist()
-            xb = x["seq"].to_pylist()
-            for c in np.unique(cent):
-                inside = np.nonzero(cent == c)[0]
-                order = inside[np.argsort(xn[inside], kind="stable")]
-                lens = xn[order]
-                xc = matrix([xb[k] for k in order])
-                xv = np.sqrt(xc)
-                widest = x_ang[order].max()
-                ok = np.nonzero((q_ang[:, c] - widest <= ANGLE + 1e-3) & (qn >= SHARE * lens[0] - 1e-3) & (qn <= lens[-1] / SHARE + 1e-3))[0]
-                ok = ok[np.argsort(qn[ok], kind="stable")]
-                for s in range(0, len(ok), 128):
-                    qq = ok[s : s + 128]
-                    lo = np.searchsorted(lens, SHARE * qn[qq[0]] - 1e-3)
-                    hi = np.searchsorted(lens, qn[qq[-1]] / SHARE + 1e-3, side="right")
-                    if lo >= hi:
-                        continue
-                    dots = qv[qq] @ xv[lo:hi].T
-                    longer = np.maximum(qn[qq][:, None], lens[None, lo:hi])
-                    hit = (dots >= SHARE * longer - 1e-2 - 1e-4 * longer) & (xid[order[lo:hi]][None] < ql[qq][:, None])
-                    at, bt = np.nonzero(hit)
-                    if not len(at):
-                        continue
-                    # the histograms' common part bounds the common subsequence from above
-                    common = np.concatenate([np.minimum(qc[qq[at[k : k + 4096]]], xc[lo + bt[k : k + 4096]]).sum(axis=1) for k in range(0, len(at), 4096)])
-                    keep = common >= SHARE * longer[at, bt] - 1e-2
-                    places: dict[int, int] = {}
-                    last = -1
-                    for a, b in zip(at[keep], bt[keep]):
-                        i, j = qq[a], order[lo + b]
-                        if qd[i] == xd[j]:
-                            continue
-                        if i != last:
-                            last, places = i, {}
-                            for k, w in enumerate(np.frombuffer(qb[i], "<u4").tolist()):
-                                places[w] = places.get(w, 0) | 1 << k
-                        need = math.ceil(SHARE * max(int(qn[i]), int(xn[j])) - 1e-9)
-                        if reaches(places, int(qn[i]), np.frombuffer(xb[j], "<u4").tolist(), need):
-                            out.append((qid[i], qd[i], int(xid[j]), xd[j]))
-        cols = list(zip(*out)) or [[], [], [], []]
-        return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema)], schema=schema)
+    """Rows of MEETING by part, side, centroid and length: the queries of a part are held, its vectors pass by."""
+
+    def run(batches):
+        part, waiting, asked = None, [], None
+        for b in batches:
+            if not b.num_rows:
+                continue
+            keys = np.stack([b.column(k).to_numpy() for k in ("part", "side", "centroid")])
+            edges = [0, *(np.nonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0))[0] + 1).tolist(), b.num_rows]
+            for s, e in zip(edges, edges[1:]):
+                if keys[0, s] != part:
+                    if asked is not None:
+                        yield asked.found()
+                    part, waiting, asked = keys[0, s], [], None
+                if keys[1, s] == 0:
+                    waiting.append(b.slice(s, e - s))
+                elif waiting or asked is not None:
+                    if asked is None:
+                        asked, waiting = _Asked(waiting, directions), []
+                    for k in range(s, e, SLICE):
+                        asked.meet(b.slice(k, min(SLICE, e - k)))
+        if asked is not None:
+            yield asked.found()
 
     return run
 
