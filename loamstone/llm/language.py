@@ -151,7 +151,7 @@ def best(scores: dict[str, float]) -> tuple[str, float]:
     return top, 1 / z
 
 
-CUT = "id string, key long, category string, declared string, suffixes array<string>, line_no array<int>, words array<string>, folded array<string>, seed array<double>, top array<string>, sure array<boolean>"
+CUT = "id string, label string, key long, category string, declared string, suffixes array<string>, line_no array<int>, words array<string>, folded array<string>, seed array<double>, top array<string>, sure array<boolean>"
 
 
 def cut(docs: DataFrame) -> DataFrame:
@@ -160,14 +160,14 @@ def cut(docs: DataFrame) -> DataFrame:
     Arrays run along the sentences. words: the words of a sentence by blanks;
     folded: those without the accents they had; seed: log likelihoods by
     function words and script, LANGS for each sentence; sure: they alone settle
-    its language. A repeated row (id, label and text) counts once, by its hash.
+    its language. A record without sentences keeps its row, with empty arrays.
+    A repeated row (id, label and text) counts once; only its text is compared
+    by a hash.
     """
 
     def one(i, category, label, t, key):
         found = pieces(t)
-        if not found:
-            return []
-        suffixes = sorted({SUFFIX[x.lower()] for x in ADDRESS.findall(t) if x.lower() in SUFFIX}) if "." in t else []
+        suffixes = sorted({SUFFIX[x.lower()] for x in ADDRESS.findall(t) if x.lower() in SUFFIX}) if t and "." in t else []
         nos, words, folded, seed, tops, sure = [], [], [], [], [], []
         for no, s in found:
             ll = log_likelihoods(s)
@@ -179,10 +179,10 @@ def cut(docs: DataFrame) -> DataFrame:
             seed.extend(ll.values())
             tops.append(top)
             sure.append(ll[top] >= 6 and p > 0.95)
-        return [(i, key, category or "", declared(label), suffixes, nos, words, folded, seed, tops, sure)]
+        return [(i, label, key, category or "", declared(label), suffixes, nos, words, folded, seed, tops, sure)]
 
     d = docs.select("id", "category", "lang", "text").withColumn("key", F.xxhash64("id", "lang", "text"))
-    return written(flat_map(d, lambda: one, CUT).dropDuplicates(["key"]), "sentences")
+    return written(flat_map(d, lambda: one, CUT).dropDuplicates(["id", "label", "key"]), "sentences")
 
 
 def learn_words(records: DataFrame, least: int = 5) -> DataFrame:
@@ -270,27 +270,56 @@ def priors(read: DataFrame, strength: float = 20.0) -> DataFrame:
     return x.select("host", "category", F.transform("p", lambda v: F.log(v)).alias("prior"))
 
 
-def identify(docs: DataFrame) -> DataFrame:
-    """(id, line_no, lang, confidence, declared) of every full sentence of docs (id, category, lang, text).
-
-    Fuses text likelihood, label, address suffix and prior inside the JVM.
-    Null and blank texts have no sentences; a null category or label gives no
-    evidence. Repeated rows of an id count once. Sentences that no language
-    explains (names, figures, addresses) are left out.
-    """
+def evidence(docs: DataFrame) -> DataFrame:
+    """(id, declared, suffixes, prior, good, line_no, ll) of every record of docs (id, category, lang, text): all that speaks for a language."""
     records = cut(docs)
     read = read_likelihoods(records, learn_words(records))
     hit = F.sum(F.when(F.col("main") == F.col("declared"), 1).otherwise(0))
     agree = read.where("main is not null and declared is not null").agg(((F.coalesce(hit, F.lit(0)) + 4.0) / (F.count("*") + 5.0)).alias("good"))  # one row
     r = read.join(priors(read), ["host", "category"]).crossJoin(F.broadcast(agree))
-    each = F.explode(F.arrays_zip("line_no", "ll"))
-    r = r.select("id", "declared", "suffixes", "prior", "good", each.alias("s")).where(F.array_max("s.ll") >= 2.5)
+    return r.select("id", "declared", "suffixes", "prior", "good", "line_no", "ll")
+
+
+def fused(r: DataFrame, ll) -> DataFrame:
+    """r with top, the language of likelihoods ll with prior, label and suffix, and the confidence in it."""
     langs = F.array(*map(F.lit, LANGS))
     label = lambda x: F.when(F.col("declared").isNull(), 0.0).when(F.col("declared") == x, F.log("good")).otherwise(F.log((1 - F.col("good")) / (len(LANGS) - 1)))
-    fused = F.zip_with("s.ll", F.arrays_zip(F.col("prior").alias("p"), langs.alias("x")), lambda v, y: F.struct((v + y["p"] + label(y["x"]) + F.when(F.array_contains("suffixes", y["x"]), 1.0).otherwise(0.0)).alias("v"), y["x"].alias("x")))
-    r = r.select("id", "s.line_no", "declared", fused.alias("f")).withColumn("top", F.array_max("f"))
+    f = F.zip_with(ll, F.arrays_zip(F.col("prior").alias("p"), langs.alias("x")), lambda v, y: F.struct((v + y["p"] + label(y["x"]) + F.when(F.array_contains("suffixes", y["x"]), 1.0).otherwise(0.0)).alias("v"), y["x"].alias("x")))
+    r = r.withColumn("f", f).withColumn("top", F.array_max("f"))
     z = let(F.col("top.v"), lambda m: F.aggregate("f", F.lit(0.0), lambda s, y: s + F.exp(y["v"] - m)))
-    return r.select("id", "line_no", F.col("top.x").alias("lang"), (1 / z).alias("confidence"), "declared")
+    return r.withColumn("confidence", 1 / z).withColumn("top", F.col("top.x")).drop("f")
+
+
+def of_sentences(r: DataFrame) -> DataFrame:
+    """(id, line_no, lang, confidence, declared) of every full sentence of `evidence` that some language explains."""
+    r = r.withColumn("s", F.explode(F.arrays_zip("line_no", "ll"))).where(F.array_max("s.ll") >= 2.5)
+    return fused(r.select("id", "declared", "suffixes", "prior", "good", "s"), F.col("s.ll")).select("id", "s.line_no", F.col("top").alias("lang"), "confidence", "declared")
+
+
+def identify(docs: DataFrame) -> DataFrame:
+    """(id, line_no, lang, confidence, declared) of every full sentence of docs (id, category, lang, text).
+
+    Fuses text likelihood, label, address suffix and prior inside the JVM.
+    Null and blank texts have no sentences; a null category or label gives no
+    evidence. Repeated rows of an id count once. Sentences that no language
+    explains (names, figures, addresses) are left out.
+    """
+    return of_sentences(evidence(docs))
+
+
+def main_languages(docs: DataFrame) -> DataFrame:
+    """(id, lang, share, confidence) of every id of docs: the main language by its sentences, their share and mean confidence.
+
+    A record without a sentence that some language explains comes out by what
+    else speaks for a language: label, suffix, prior and the little its
+    sentences say. Its share is null.
+    """
+    r = evidence(docs)
+    whole = F.aggregate("ll", F.array(*[F.lit(0.0) for _ in LANGS]), lambda s, x: F.zip_with(s, x, lambda a, b: a + b))
+    s = of_sentences(r).groupBy("id", "lang").agg(F.count("*").alias("n"), F.avg("confidence").alias("confidence"))
+    s = s.unionByName(fused(r, whole).select("id", F.col("top").alias("lang"), F.lit(0).cast("long").alias("n"), "confidence"))
+    order = F.struct("n", F.when(F.col("n") == 0, F.col("confidence")).otherwise(0.0).alias("c"), "lang")
+    return s.groupBy("id").agg(F.max_by("lang", order).alias("lang"), F.try_divide(F.max("n"), F.sum("n")).alias("share"), F.max_by("confidence", order).alias("confidence"))
 
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -300,5 +329,4 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p3_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main language of every record, its share of the sentences and mean confidence."""
-    s = identify(spread(table(spark, sf_dir, "redteam_multilingual").select("id", "category", "lang", "text"))).groupBy("id", "lang").agg(F.count("*").alias("n"), F.avg("confidence").alias("confidence"))
-    return s.groupBy("id").agg(F.max_by("lang", F.struct("n", "lang")).alias("lang"), (F.max("n") / F.sum("n")).alias("share"), F.max_by("confidence", F.struct("n", "lang")).alias("confidence"))
+    return main_languages(spread(table(spark, sf_dir, "redteam_multilingual").select("id", "category", "lang", "text")))
