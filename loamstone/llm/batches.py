@@ -262,7 +262,8 @@ class CellIndex:
         however large index, batch and blocks are.
         """
         spark, empty = self.spark, "q_id long, q_digest string, x_id long"
-        stats = sorted(self.statistics(), key=lambda r: (r["band"], r["centroid"]))
+        rank = _chain(self.centroids)
+        stats = sorted(self.statistics(), key=lambda r: (r["band"], rank[r["centroid"]]))
         if not stats:
             return spark.createDataFrame([], empty)
         weights = [r["size"] * max(1, -(-r["most"] // LONG)) for r in stats]
@@ -321,6 +322,16 @@ class CellIndex:
         return met.mapInArrow(_meet(self.centroids), empty)
 
 
+def _chain(directions: np.ndarray) -> list[int]:
+    """Rank of every centroid in a chain of nearest ones, so that cells of like direction share a block and fewer queries reach it."""
+    rank, at, near_ = [-1] * len(directions), 0, directions @ directions.T
+    for k in range(len(directions)):
+        rank[at] = k
+        left = [j for j, r in enumerate(rank) if r < 0]
+        at = max(left, key=lambda j: near_[at, j], default=at)  # noqa: B023
+    return rank
+
+
 def _reach(stats: list, cells: list[tuple], blocks: int, directions: np.ndarray):
     """Rows of a batch with digest, n and seq, and the blocks whose bounds leave room for a holder of them, some rows at a time."""
     cent = np.array([r["centroid"] for r in stats])
@@ -349,11 +360,11 @@ class _Asked:
         self.n, self.id, self.digest = t["n"].to_numpy().astype(np.float32), t["id"].to_numpy(), t["digest"].to_pylist()
         self.below, self.met = t["last_id"].to_numpy().copy(), np.zeros(t.num_rows, dtype=bool)
         self.seq = t["seq"].to_pylist()
-        self.v = np.empty((t.num_rows, WIDTH), dtype=np.float32)
+        self.counts = np.empty((t.num_rows, WIDTH), dtype=np.uint16 if self.n.max() < 1 << 16 else np.uint32)
         self.angle = np.empty((t.num_rows, len(directions)), dtype=np.float32)
         for s in range(0, t.num_rows, SLICE):
-            v = self.v[s : s + SLICE] = np.sqrt(matrix(self.seq[s : s + SLICE]))
-            self.angle[s : s + SLICE] = np.arccos(np.clip((v / np.linalg.norm(v, axis=1, keepdims=True)) @ directions.T, -1, 1))
+            c = self.counts[s : s + SLICE] = matrix(self.seq[s : s + SLICE])
+            self.angle[s : s + SLICE] = np.arccos(np.clip(unit(c) @ directions.T, -1, 1))
 
     def meet(self, x: pa.RecordBatch) -> None:
         """Indexed vectors of one centroid by length; cells are pruned by angle, slices by length."""
@@ -371,12 +382,12 @@ class _Asked:
             if lo >= hi:
                 continue
             longer = np.maximum(self.n[qq][:, None], lens[None, lo:hi])
-            qv = self.v[qq]
-            at, bt = np.nonzero((qv @ xv[lo:hi].T >= SHARE * longer - 1e-2 - 1e-4 * longer) & (xid[lo:hi][None] < self.below[qq][:, None]))
+            qc = self.counts[qq].astype(np.float32)
+            at, bt = np.nonzero((np.sqrt(qc) @ xv[lo:hi].T >= SHARE * longer - 1e-2 - 1e-4 * longer) & (xid[lo:hi][None] < self.below[qq][:, None]))
             if not len(at):
                 continue
             # the histograms' common part bounds the common subsequence from above
-            common = np.concatenate([np.minimum(np.rint(qv[at[k : k + 1024]] ** 2), xc[lo + bt[k : k + 1024]]).sum(axis=1) for k in range(0, len(at), 1024)])
+            common = np.concatenate([np.minimum(qc[at[k : k + 1024]], xc[lo + bt[k : k + 1024]]).sum(axis=1) for k in range(0, len(at), 1024)])
             keep = common >= SHARE * longer[at, bt] - 1e-2
             places: dict[int, int] = {}
             last = -1
